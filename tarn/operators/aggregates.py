@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.operators.scans import exact_quantiles
+from tarn.operators.scans import (
+    SEGMENT_ROWS,
+    exact_quantiles,
+    over_blocks,
+    running_total,
+    time_segment,
+    with_positions,
+)
 from tarn.operators.validate import deduplicate
 from tarn.functions.skew import null_safe_join
 
@@ -128,7 +135,6 @@ def slo_table(
     latency_s: str,
     gold_age_h: Column,
     thresholds: Mapping[str, float],
-    latency_width: float = 1.0,
 ) -> DataFrame:
     """Service levels per window: one row per level, with value, threshold and status.
 
@@ -140,7 +146,7 @@ def slo_table(
         F.avg(checks_passed.cast("int")).alias("check_pass_rate"),
         gold_age_h.alias("gold_age_h"),
     )
-    tail = exact_quantiles(runs, keys, latency_s, {"latency_p95_s": 0.95}, latency_width)
+    tail = exact_quantiles(runs, keys, latency_s, {"latency_p95_s": 0.95})
     joined = null_safe_join(rates, tail, keys)
     levels = [
         F.struct(
@@ -208,13 +214,13 @@ def two_group_means(df: DataFrame, group: str, first: str, second: str, value: s
     )
 
 
-def step_durations(runs: DataFrame, step: str, ts: str, duration: str, width: float = 1.0) -> DataFrame:
+def step_durations(runs: DataFrame, step: str, ts: str, duration: str) -> DataFrame:
     """Runs, mean, median and 95th percentile of a step's duration per day."""
     daily = runs.withColumn("day", F.to_date(ts))
     basic = daily.groupBy(step, "day").agg(
         F.count(F.lit(1)).alias("runs"), F.avg(duration).alias("avg_duration")
     )
-    tail = exact_quantiles(daily, [step, "day"], duration, {"p50_duration": 0.5, "p95_duration": 0.95}, width)
+    tail = exact_quantiles(daily, [step, "day"], duration, {"p50_duration": 0.5, "p95_duration": 0.95})
     return null_safe_join(basic, tail, [step, "day"])
 
 
@@ -230,7 +236,8 @@ def model_costs(
 
 
 def sessions(
-    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, gap_seconds: int, segment: str = "hour"
+    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, gap_seconds: int,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Runs of rows of a key with less than ``gap_seconds`` between neighbours.
 
@@ -238,9 +245,7 @@ def sessions(
     totals over segments, and the sessions themselves are plain aggregates; no
     task sees all rows of a hot key.
     """
-    from tarn.operators.scans import over_blocks, running_total, with_positions
-
-    cut = F.date_trunc(segment, ts)
+    cut, _ = time_segment(df, keys, ts, segment_rows)
     ordered = over_blocks(
         with_positions(df, keys, [ts, tiebreak], cut),
         keys,
@@ -255,10 +260,3 @@ def sessions(
         F.max(ts).alias("last_seen"),
         F.count(F.lit(1)).alias("n"),
     )
-
-
-def union_all(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.skew import dimension_join, hashable, row_salt
+from tarn.operators.scans import SEGMENT_ROWS, time_segment
 from tarn.operators.series import fill_calendar
 from tarn.session import stage
 
@@ -116,21 +117,22 @@ def asof_join(
     rate_ts: str,
     rate: str,
     out: str,
-    segment: str = "day",
+    segment_rows: int = SEGMENT_ROWS,
     salts: int = 8,
 ) -> DataFrame:
     """The latest rate at or before each fact, to the exact timestamp.
 
-    Facts are spread over (key, segment, salt); each spread gets the rates of
-    its segment and the rate in force when the segment begins, so a hot key or
-    a hot segment is worked on by many tasks. Facts never meet each other.
+    Facts are spread over (key, time segment, salt); each spread gets the rates
+    of its segment and the rate in force when the segment begins, so a hot key
+    is worked on by many tasks. Facts never meet each other.
     """
     keys = list(keys)
-    cut = lambda c: F.date_trunc(segment, c)
+    _, width = time_segment(facts, keys, ts, segment_rows * salts)
+    cut = lambda c: F.floor(F.unix_micros(F.col(c)) / F.lit(width)).cast("long")
     points = rates.groupBy(*keys, F.col(rate_ts).alias("_ts")).agg(F.max(rate).alias("_rate"))
-    points = points.withColumn("_segment", cut(F.col("_ts")))
+    points = points.withColumn("_segment", cut("_ts"))
     tails = points.groupBy(*keys, "_segment").agg(F.max_by("_rate", "_ts").alias("_tail"))
-    wanted = facts.select(*keys, cut(F.col(ts)).alias("_segment")).distinct()
+    wanted = facts.select(*keys, cut(ts).alias("_segment")).distinct()
     earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     spine = (
         wanted.withColumn("_wanted", F.lit(True))
@@ -138,7 +140,10 @@ def asof_join(
         .withColumn("_rate", F.last("_tail", ignorenulls=True).over(earlier))
     )
     opening = spine.filter("_wanted").select(
-        *keys, "_segment", F.col("_segment").cast("timestamp").alias("_ts"), "_rate",
+        *keys,
+        "_segment",
+        F.timestamp_micros(F.col("_segment") * F.lit(width)).alias("_ts"),
+        "_rate",
         F.lit(0).alias("_side"),
     )
     moves = points.select(*keys, "_segment", "_ts", "_rate", F.lit(1).alias("_side"))
@@ -150,7 +155,7 @@ def asof_join(
         *keys,
         F.struct(*payload).alias("_fact"),
         F.col(ts).alias("_ts"),
-        cut(F.col(ts)).alias("_segment"),
+        cut(ts).alias("_segment"),
         row_salt(hashable(facts), salts).alias("_salt"),
         F.lit(2).alias("_side"),
     )

@@ -49,8 +49,7 @@ def upstream_chain(
 
     A breadth-first search over all datasets at once: each level is one
     equi-join of the newly found pairs with the edges, minus the pairs seen
-    before, so cycles end. Lineage is cut by writing the levels. A parent that
-    very many datasets share is spread over tasks.
+    before, so cycles end. Lineage is cut by writing the levels.
     """
     edges = stage(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).dropna().distinct(), "edges")
     level = edges.select(F.col("c").alias("dataset"), F.col("p").alias("upstream"))

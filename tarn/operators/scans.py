@@ -12,9 +12,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.functions.skew import null_safe_join
+from tarn.functions.skew import dimension_join, null_safe_join
+from tarn.session import stage
 
 BLOCK_ROWS = 50_000
+# rows one task should sort for one segment of a key, or one group of values
+SEGMENT_ROWS = 2_000_000
+GROUP_VALUES = 2_000_000
+
+
+def time_segment(
+    df: DataFrame, keys: Sequence[str], ts: str, rows: int = SEGMENT_ROWS
+) -> tuple[Column, int]:
+    """Segments of time short enough that none holds many more than ``rows`` rows of a key.
+
+    Starts from days and shortens them, down to a second, as long as the
+    fullest one is too full; each try is one count of two columns. Returns the
+    segment number and its width in microseconds.
+    """
+    second = 1_000_000
+    width = 86_400 * second
+    while True:
+        number = F.floor(F.unix_micros(F.col(ts)) / F.lit(width)).cast("long")
+        sizes = df.groupBy(*keys, number.alias("_segment")).agg(F.count(F.lit(1)).alias("n"))
+        fullest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+        if fullest <= rows or width == second:
+            return number, width
+        width = max(second, width // max(2, -(-fullest // rows)) // second * second)
 
 
 def with_positions(
@@ -147,66 +171,88 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     quantiles: dict[str, float],
-    width: float,
+    most: int = GROUP_VALUES,
+    bins: int = 1000,
 ) -> DataFrame:
-    """Interpolated quantiles per key, exact, for groups of any size.
+    """Interpolated quantiles per key, exact, for groups of any size. Nulls are ignored.
 
-    Equal values are counted on the map side. A histogram with bins of
-    ``width`` tells which bins hold the wanted ranks; only the distinct values
-    of those bins are sorted. Nulls are ignored.
+    Equal values are counted on the map side. While the range that holds a
+    wanted rank has more than ``most`` rows of several values, it is cut into
+    ``bins`` and narrowed to the bins around the rank; what is left is sorted.
+    The number of passes grows with the logarithm of the largest group.
     """
     keys = list(keys)
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / F.lit(float(width))).cast("long"))
-    )
-    upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = (
-        counted.groupBy(*keys, "_bin")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_end", F.sum("_n").over(upto))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     )
     wanted = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("name"),
-                (F.lit(float(q)) * (F.col("_total") - 1)).alias("rank"),
-            )
-            for name, q in quantiles.items()
+            F.struct(F.lit(n).alias("_q"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("_rank"))
+            for n, q in quantiles.items()
         ]
     )
-    start = F.col("_end") - F.col("_n")
-    # a bin is needed if it holds the row at, or right after, the rank
-    needed = (
-        bins.withColumn("_q", F.explode(wanted))
-        .filter(
-            (start <= F.ceil("_q.rank")) & (F.floor("_q.rank") < F.col("_end"))
-        )
-        .select(*keys, "_bin", start.alias("_start"), "_q")
-    )
-    inside = (
-        Window.partitionBy(*keys, "_bin", "_q.name")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    # a range: the rows of a key with values from _low to _high, _left in number, _before below it
+    ranges = stage(
+        counted.groupBy(*keys)
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .select(*keys, F.inline(wanted), "_low", "_high", F.col("_n").alias("_left"), F.lit(0).cast("long").alias("_before")),
+        "ranges",
     )
-    ranked = (
-        null_safe_join(counted, needed, [*keys, "_bin"], "inner")
-        .withColumn("_hi", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn("_lo", F.col("_hi") - F.col("_n"))
+    while not ranges.filter((F.col("_left") > most) & (F.col("_low") < F.col("_high"))).isEmpty():
+        ranges = stage(_narrowed(counted, ranges, keys, bins), "ranges")
+    upto = (
+        Window.partitionBy(*keys, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
+    ranked = _in_ranges(counted, ranges, keys).withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
+    start = F.col("_end") - F.col("_n")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col("_v")))
+        return F.max(F.when((start <= rank) & (rank < F.col("_end")), F.col("_v")))
 
-    low, high = F.floor("_q.rank"), F.ceil("_q.rank")
-    points = ranked.groupBy(*keys, F.col("_q.name").alias("_name"), F.col("_q.rank").alias("_rank")).agg(
-        at(low).alias("_a"), at(high).alias("_b")
+    points = ranked.groupBy(*keys, "_q", "_rank").agg(
+        at(F.floor("_rank")).alias("_a"), at(F.ceil("_rank")).alias("_b")
     )
-    part = F.col("_rank") - F.floor("_rank")
-    interpolated = F.col("_a") + (F.col("_b") - F.col("_a")) * part
+    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - F.floor("_rank"))
     return points.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == name, interpolated)).alias(name) for name in quantiles]
+        *[F.max(F.when(F.col("_q") == name, between)).alias(name) for name in quantiles]
+    )
+
+
+def _in_ranges(counted: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+    side = ranges.withColumn("_key", F.xxhash64(F.lit(0), *keys))
+    rows = counted.withColumn("_key", F.xxhash64(F.lit(0), *keys))
+    same = F.lit(True)
+    for c in keys:
+        side = side.withColumnRenamed(c, f"_r_{c}")
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    joined = dimension_join(rows, side, ["_key"], "inner")
+    return joined.filter(same & F.col("_v").between(F.col("_low"), F.col("_high"))).drop(
+        "_key", *[f"_r_{c}" for c in keys]
+    )
+
+
+def _narrowed(counted: DataFrame, ranges: DataFrame, keys: list[str], bins: int) -> DataFrame:
+    span = F.col("_high") - F.col("_low")
+    place = F.when(span > 0, F.floor((F.col("_v") - F.col("_low")) / span * F.lit(bins))).otherwise(F.lit(0))
+    cut = (
+        _in_ranges(counted, ranges, keys)
+        .groupBy(*keys, "_q", "_rank", "_before", place.cast("long").alias("_bin"))
+        .agg(F.sum("_n").alias("_left"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    )
+    upto = (
+        Window.partitionBy(*keys, "_q").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    start = F.col("_end") - F.col("_left")
+    return (
+        cut.withColumn("_end", F.col("_before") + F.sum("_left").over(upto))
+        .filter((start <= F.ceil("_rank")) & (F.floor("_rank") < F.col("_end")))
+        .groupBy(*keys, "_q", "_rank")
+        .agg(
+            F.min("_low").alias("_low"),
+            F.max("_high").alias("_high"),
+            F.sum("_left").cast("long").alias("_left"),
+            F.min(start).cast("long").alias("_before"),
+        )
     )

@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.skew import dimension_join
-from tarn.operators.scans import exact_quantiles, over_blocks, with_positions
+from tarn.operators.scans import (
+    SEGMENT_ROWS,
+    exact_quantiles,
+    over_blocks,
+    time_segment,
+    with_positions,
+)
 
 
 def _series(keys: Sequence[str], step: str):
@@ -264,14 +270,15 @@ def spikes(
     value: str,
     window: int = 20,
     threshold: float = 3.0,
-    segment: str = "hour",
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Rows far from the mean of the ``window`` rows before them, in standard deviations.
 
     Works on raw rows: positions and blocks spread a long series over tasks.
     Rows with fewer rows before them have no score.
     """
-    ordered = with_positions(df, keys, [ts, tiebreak], F.date_trunc(segment, ts))
+    segment, _ = time_segment(df, keys, ts, segment_rows)
+    ordered = with_positions(df, keys, [ts, tiebreak], segment)
 
     def frame(w):
         return w.rowsBetween(-window, -1)
@@ -297,14 +304,14 @@ def spikes(
 
 
 def robust_spikes(
-    df: DataFrame, keys: Sequence[str], value: str, width: float, threshold: float = 3.5
+    df: DataFrame, keys: Sequence[str], value: str, threshold: float = 3.5
 ) -> DataFrame:
     """Rows far from the median of their key, in scaled median absolute deviations."""
     keys = list(keys)
-    medians = exact_quantiles(df, keys, value, {"median": 0.5}, width)
+    medians = exact_quantiles(df, keys, value, {"median": 0.5})
     centred = dimension_join(df, medians, keys, derived=True)
     deviation = centred.withColumn("_dev", F.abs(F.col(value) - F.col("median")))
-    mads = exact_quantiles(deviation, keys, "_dev", {"mad": 0.5}, width)
+    mads = exact_quantiles(deviation, keys, "_dev", {"mad": 0.5})
     # 1.4826 makes the deviation comparable to a standard deviation
     score = F.try_divide(F.col(value) - F.col("median"), F.col("mad") * F.lit(1.4826))
     return dimension_join(centred, mads, keys, derived=True).withColumn(

@@ -97,16 +97,21 @@ def ingest(
     batch_ts: dt.datetime,
     rules: Sequence[Rule] = (),
     namespace: str = "bronze",
+    read_once: bool = True,
 ) -> dict[str, int]:
     """Project, validate, append the valid records and quarantine the rest.
 
-    The tagged input is kept on disk across the two writes, so the source is
-    read once. Casts that fail reject the record with its original values.
+    The tagged input is kept on executor disks across the two writes, so the
+    source is read once. For files and tables, which give the same rows again,
+    ``read_once=False`` reads twice instead of copying a large batch. Casts
+    that fail reject the record with its original values.
     """
     columns = [f for f in schema.columns.fields if f.name not in LINEAGE]
     declared = T.StructType(columns)
     types = [castable(f.name, f.dataType.simpleString()) for f in columns if f.name in raw.columns]
-    tagged = tag(raw, [*types, *rules]).persist(StorageLevel.DISK_ONLY)
+    tagged = tag(raw, [*types, *rules])
+    if read_once:
+        tagged = tagged.persist(StorageLevel.DISK_ONLY)
     try:
         seen = Observation()
         good = tagged.filter(F.col(REASON).isNull()).drop(REASON)

@@ -145,14 +145,11 @@ def _search(queries, corpus, probes, k, metric, per_round):
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
     """Mean vector per group, averaged element by element."""
-    means = (
-        df.select(group, F.posexplode(vector).alias("i", "x"))
-        .groupBy(group, "i")
-        .agg(F.avg("x").alias("x"))
-    )
-    # one entry per dimension, so the collected list is as long as a vector
-    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
-    return means.groupBy(group).agg(F.transform(ordered, lambda e: e["x"]).alias(vector))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
+    return df.groupBy(group).agg(vector_to_array(mean).alias(vector))
 
 
 def build_cells(corpus: DataFrame, path: str, cells: int, seed: int = 7, iterations: int = 10) -> np.ndarray:

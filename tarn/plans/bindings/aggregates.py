@@ -54,24 +54,25 @@ def mix_json(spark, sf_dir):
 
 @query(
     "agg5_country_comparison",
-    """SELECT n_name, round(avg(c_acctbal), 6) AS avg_c_acctbal, min(c_acctbal) AS min_c_acctbal,
-        max(c_acctbal) AS max_c_acctbal, count(*) AS n
+    """SELECT n_name, round(avg(round(c_acctbal * 100)), 6) AS avg_cents, min(round(c_acctbal * 100)) AS min_cents,
+        max(round(c_acctbal * 100)) AS max_cents, count(*) AS n
     FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
 def country_comparison(spark, sf_dir):
     nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     df = table(spark, sf_dir, "customer").join(nations, "c_nationkey")
-    return agg.compare_groups(df, ["n_name"], ["c_acctbal"]).withColumn("avg_c_acctbal", rounded("avg_c_acctbal"))
+    df = df.withColumn("cents", F.round(F.col("c_acctbal") * 100))
+    return agg.compare_groups(df, ["n_name"], ["cents"]).withColumn("avg_cents", rounded("avg_cents"))
 
 
 @query(
     "agg6_metric",
-    """SELECT event_type, date_trunc('day', ts) AS ts_day, round(avg(value * 2), 6) AS mean_value,
+    """SELECT event_type, date_trunc('day', ts) AS ts_day, round(avg(round(value * 100)), 6) AS mean_value,
         round(sum(value), 2) AS total, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY ALL""",
 )
 def metric(spark, sf_dir):
     measures = {
-        "mean_value": ("average", "value * 2"),
+        "mean_value": ("average", "round(value * 100)"),
         "total": ("sum", "value"),
         "n": ("count", "event_id"),
         "users": ("count_distinct", "user_id"),
@@ -185,27 +186,29 @@ def two_groups(spark, sf_dir):
 
 @query(
     "agg13_step_durations",
-    """SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS runs, round(avg(value), 6) AS avg_duration,
-        round(quantile_cont(value, 0.5), 6) AS p50_duration, round(quantile_cont(value, 0.95), 6) AS p95_duration
+    """SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS runs, round(avg(round(value * 100)), 6) AS avg_duration,
+        round(quantile_cont(round(value * 100), 0.5), 6) AS p50_duration,
+        round(quantile_cont(round(value * 100), 0.95), 6) AS p95_duration
     FROM events GROUP BY ALL""",
 )
 def step_durations(spark, sf_dir):
-    out = agg.step_durations(events(spark, sf_dir), "event_type", "ts", "value")
+    df = events(spark, sf_dir).withColumn("value", F.round(F.col("value") * 100))
+    out = agg.step_durations(df, "event_type", "ts", "value")
     return out.withColumns({c: rounded(c) for c in ("avg_duration", "p50_duration", "p95_duration")})
 
 
 @query(
     "agg13_quantiles_whole_table",
-    """SELECT l_returnflag, quantile_cont(l_extendedprice, 0.01) AS p01, quantile_cont(l_extendedprice, 0.5) AS p50,
-        quantile_cont(l_extendedprice, 0.999) AS p999 FROM lineitem GROUP BY ALL""",
+    """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.01), 6) AS p01,
+        round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.999), 6) AS p999 FROM lineitem GROUP BY ALL""",
 )
 def quantiles_whole_table(spark, sf_dir):
-    """Three groups hold all rows: no task sorts more than a histogram bin."""
+    """Three groups hold all rows."""
     from tarn.operators.scans import exact_quantiles
 
     out = exact_quantiles(
         table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice",
-        {"p01": 0.01, "p50": 0.5, "p999": 0.999}, width=100.0,
+        {"p01": 0.01, "p50": 0.5, "p999": 0.999},
     )
     return out.withColumns({c: rounded(c) for c in ("p01", "p50", "p999")})
 
@@ -236,5 +239,5 @@ SESSION_SQL = """WITH o AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER B
 )
 def sessions(spark, sf_dir):
     """Six-hour sessions per user, the batch form of the streaming sessions."""
-    out = agg.sessions(events(spark, sf_dir), ["user_id"], "ts", "event_id", 6 * 3600, "day")
+    out = agg.sessions(events(spark, sf_dir), ["user_id"], "ts", "event_id", 6 * 3600)
     return out.select("user_id", ntz("session_start").alias("session_start"), ntz("last_seen").alias("last_seen"), "n")

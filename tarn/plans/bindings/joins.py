@@ -10,6 +10,7 @@ from tarn.operators.aggregates import latest_per_key
 from tarn.operators.series import resample
 from tarn.operators.validate import business_days
 from tarn.plans import gold, silver
+from tarn.session import stage
 from tarn.plans.bindings.registry import DAILY_CLOSES, daily_closes, events, lineitem, ntz, orders, query, rounded, table
 
 
@@ -124,7 +125,8 @@ def _cost_inputs(spark, sf_dir):
     pricing = df.groupBy(
         F.col("event_type").alias("country"), brand.alias("accelerator"), F.to_date("ts").alias("valid_from")
     ).agg((F.avg("value") + 1).alias("price_eur_per_hour"))
-    return carbon, efficiency, pricing
+    # the three Silver tables are written before Gold reads them
+    return stage(carbon, "silver"), stage(efficiency, "silver"), stage(pricing, "silver")
 
 
 @query(
@@ -275,16 +277,16 @@ def instance_pricing(spark, sf_dir):
     f"""WITH closes AS ({DAILY_CLOSES}),
     s AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day) AS n FROM closes),
     e AS (SELECT DISTINCT o_orderpriority AS symbol, CAST(date_trunc('month', o_orderdate) AS DATE) AS event_day FROM orders),
-    placed AS (SELECT e.symbol, e.event_day, max(n) AS at FROM e JOIN s ON s.symbol = e.symbol AND s.day <= e.event_day GROUP BY ALL)
-    SELECT p.symbol, event_day, CAST(n - at AS INTEGER) AS "offset", day AS offset_day, round(close, 4) AS close
-    FROM placed p JOIN s ON s.symbol = p.symbol AND n BETWEEN at - 5 AND at + 5""",
+    placed AS (SELECT e.symbol, e.event_day, max(n) AS pos FROM e JOIN s ON s.symbol = e.symbol AND s.day <= e.event_day GROUP BY ALL)
+    SELECT p.symbol, event_day, CAST(n - pos AS INTEGER) AS "offset", day AS offset_day, close
+    FROM placed p JOIN s ON s.symbol = p.symbol AND n BETWEEN pos - 5 AND pos + 5""",
 )
 def event_offsets(spark, sf_dir):
     months = orders(spark, sf_dir).select(
         F.col("o_orderpriority").alias("symbol"), F.trunc("o_orderdate", "month").alias("event_day")
     ).distinct()
     out = joins.join_event_offsets(months, daily_closes(spark, sf_dir), ["symbol"], "event_day", "day", "close")
-    return out.select("symbol", "event_day", "offset", "offset_day", rounded("close", 4).alias("close"))
+    return out.select("symbol", "event_day", "offset", "offset_day", "close")
 
 
 @query(

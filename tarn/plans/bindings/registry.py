@@ -60,14 +60,16 @@ def daily_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean order price per priority and business day: the stand-in for a market series."""
     from tarn.operators.validate import business_days
 
+    # whole cents, so that the sum does not depend on the order of its terms
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return (
         business_days(orders(spark, sf_dir), "o_orderdate")
         .groupBy(F.col("o_orderpriority").alias("symbol"), F.col("o_orderdate").alias("day"))
-        .agg(F.avg("o_totalprice").alias("close"))
+        .agg((F.sum(cents).cast("double") / (F.count(F.lit(1)) * 100)).alias("close"))
     )
 
 
 DAILY_CLOSES = """
-    SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS close
+    SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / (count(*) * 100) AS close
     FROM orders WHERE isodow(o_orderdate) <= 5 GROUP BY ALL
 """

@@ -34,12 +34,12 @@ def forward_fill(spark, sf_dir):
         PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events""",
 )
 def carry_forward_rows(spark, sf_dir):
-    """Forward fill over raw rows: hours are filled apart and joined by a summary."""
-    from tarn.operators.scans import carry_forward
+    """Forward fill over raw rows: segments are filled apart and joined by a summary."""
+    from tarn.operators.scans import carry_forward, time_segment
 
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
     df = events(spark, sf_dir).withColumn("bought", bought)
-    out = carry_forward(df, ["user_id"], "ts", "bought", F.date_trunc("hour", "ts"), "last_purchase")
+    out = carry_forward(df, ["user_id"], "ts", "bought", time_segment(df, ["user_id"], "ts")[0], "last_purchase")
     return out.select("event_id", "last_purchase")
 
 
@@ -74,19 +74,21 @@ def simple_return(spark, sf_dir):
 
 @query(
     "win4_event_study",
-    f"""WITH c AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY day) AS n,
-            close / lag(close) OVER (PARTITION BY symbol ORDER BY day) - 1 AS r FROM ({DAILY_CLOSES})),
+    f"""WITH r AS (SELECT *, close / lag(close) OVER (PARTITION BY symbol ORDER BY day) - 1 AS r FROM ({DAILY_CLOSES})),
+    c AS (SELECT symbol, day, close, row_number() OVER (PARTITION BY symbol ORDER BY day) AS n,
+        CASE WHEN count(r) OVER w = 5 THEN stddev_samp(r) OVER w END AS volatility
+        FROM r WINDOW w AS (PARTITION BY symbol ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
     m AS (SELECT l_returnflag AS series, CAST(date_trunc('month', l_shipdate) AS DATE) AS event_date, round(avg(l_tax) * 100, 2) AS rate
         FROM lineitem GROUP BY ALL),
-    e AS (SELECT *, (rate - lag(rate) OVER (PARTITION BY series ORDER BY event_date)) * 100 AS bps FROM m),
-    p AS (SELECT series, symbol, event_date, bps, rate, max(n) FILTER (c.day < e.event_date) AS before, max(n) FILTER (c.day <= e.event_date) AS upto
-        FROM e, c WHERE bps <> 0 GROUP BY ALL)
+    d AS (SELECT *, (rate - lag(rate) OVER (PARTITION BY series ORDER BY event_date)) * 100 AS bps FROM m),
+    e AS (SELECT d.*, symbol FROM d, (SELECT DISTINCT symbol FROM c) WHERE bps <> 0),
+    p AS (SELECT e.*, b.close AS pre_close, b.volatility, u.n AS upto FROM e
+        ASOF JOIN c b ON b.symbol = e.symbol AND e.event_date > b.day
+        ASOF JOIN c u ON u.symbol = e.symbol AND e.event_date >= u.day)
     SELECT p.series, p.symbol, event_date, round(bps, 4) AS rate_change_bps, rate AS rate_level_pct, bps > 0 AS is_rate_hike,
-        bps < 0 AS is_rate_cut, round(b.close, 4) AS pre_close, round(x.close / b.close - 1, 6) AS return_1d,
-        round(y.close / b.close - 1, 6) AS return_5d,
-        round((SELECT CASE WHEN count(r) = 5 THEN stddev_samp(r) END FROM c v WHERE v.symbol = p.symbol AND v.n BETWEEN before - 4 AND before), 6) AS volatility_pre_5d
-    FROM p JOIN c b ON b.symbol = p.symbol AND b.n = before JOIN c x ON x.symbol = p.symbol AND x.n = upto + 1
-    JOIN c y ON y.symbol = p.symbol AND y.n = upto + 5""",
+        bps < 0 AS is_rate_cut, pre_close, round(x.close / pre_close - 1, 6) AS return_1d,
+        round(y.close / pre_close - 1, 6) AS return_5d, round(p.volatility, 6) AS volatility_pre_5d
+    FROM p JOIN c x ON x.symbol = p.symbol AND x.n = upto + 1 JOIN c y ON y.symbol = p.symbol AND y.n = upto + 5""",
 )
 def event_study(spark, sf_dir):
     """Monthly mean taxes as policy rates, daily mean prices as the market."""
@@ -96,7 +98,6 @@ def event_study(spark, sf_dir):
     return out.withColumns(
         {
             "rate_change_bps": rounded("rate_change_bps", 4),
-            "pre_close": rounded("pre_close", 4),
             "return_1d": rounded("return_1d"),
             "return_5d": rounded("return_5d"),
             "volatility_pre_5d": rounded("volatility_pre_5d"),
@@ -147,14 +148,16 @@ def resample_hourly(spark, sf_dir):
 
 
 def hourly_features(spark, sf_dir):
-    hourly = series.resample(events(spark, sf_dir), ["event_type"], "ts", "value")
+    # hourly totals in whole cents, so that rolling means do not depend on the order of sums
+    cents = F.sum(F.round(F.col("value") * 100)).alias("value")
+    hourly = events(spark, sf_dir).groupBy("event_type", F.date_trunc("hour", "ts").alias("timestamp_hour")).agg(cents)
     filled = series.fill_calendar(hourly, ["event_type"], "timestamp_hour", ["value"], interval="1 HOUR")
     return series.forecast_features(filled, ["event_type"], "timestamp_hour", "value")
 
 
 @query(
     "win8_forecast_features",
-    """WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hr, avg(value) AS v FROM events GROUP BY ALL),
+    """WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hr, sum(round(value * 100)) AS v FROM events GROUP BY ALL),
     spine AS (SELECT event_type, unnest(generate_series(min(hr), max(hr), INTERVAL 1 HOUR)) AS hr FROM h GROUP BY event_type),
     f AS (SELECT s.event_type, s.hr, h.v FROM spine s ASOF LEFT JOIN h ON s.event_type = h.event_type AND s.hr >= h.hr)
     SELECT event_type, hr AS timestamp_hour, round(v, 6) AS value, round(lag(v, 1) OVER w, 6) AS lag_1, round(lag(v, 24) OVER w, 6) AS lag_24,
@@ -203,7 +206,7 @@ def spikes(spark, sf_dir):
         coalesce(abs((value - median) / nullif(mad * 1.4826, 0)) > 3.5, false) AS is_spike FROM d JOIN a USING (event_type)""",
 )
 def robust_spikes(spark, sf_dir):
-    out = series.robust_spikes(events(spark, sf_dir), ["event_type"], "value", width=0.5)
+    out = series.robust_spikes(events(spark, sf_dir), ["event_type"], "value")
     return out.select("event_id", rounded("robust_z", 4).alias("robust_z"), "is_spike")
 
 

@@ -96,11 +96,11 @@ def table_scan(spark, sf_dir):
 
 @query(
     "src6_adhoc_sql",
-    """SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 6) AS avg_balance
+    """SELECT c_mktsegment, count(*) AS n, round(avg(round(c_acctbal * 100)), 6) AS avg_cents
     FROM customer WHERE c_acctbal > 1000 GROUP BY c_mktsegment""",
 )
 def adhoc_sql(spark, sf_dir):
-    statement = """SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 6) AS avg_balance
+    statement = """SELECT c_mktsegment, count(*) AS n, round(avg(round(c_acctbal * 100)), 6) AS avg_cents
         FROM customer WHERE c_acctbal > :least GROUP BY c_mktsegment"""
     db = _registered(spark, sf_dir, "customer")
     return catalog.run_sql(spark, statement, schema=db, args={"least": 1000}, timeout_s=180)
@@ -160,15 +160,13 @@ def market_documents(spark, sf_dir):
     start = F.date_format(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("series")), "yyyy-MM-dd'T'00:00'Z'")
     resolution = F.when(F.col("series") % 2 == 0, "PT60M").otherwise("PT15M")
     xml = F.concat(
-        F.lit("<TimeSeries><MktPSRType><psrType>B16</psrType></MktPSRType><inBiddingZone_Domain.mRID>"),
+        F.lit("<GL_MarketDocument><TimeSeries><MktPSRType><psrType>B16</psrType></MktPSRType><inBiddingZone_Domain.mRID>"),
         F.col("series").cast("string"),
         F.lit("</inBiddingZone_Domain.mRID><Period><timeInterval><start>"), start,
         F.lit("</start></timeInterval><resolution>"), resolution, F.lit("</resolution>"), points,
-        F.lit("</Period></TimeSeries>"),
+        F.lit("</Period></TimeSeries></GL_MarketDocument>"),
     )
-    folder = scratch_path(spark, "documents")
-    docs.select(xml.alias("value")).write.text(folder)
-    rows = envelopes.read_market_documents(spark, folder)
+    rows = envelopes.document_points(docs.select(xml.alias("body")), "body")
     return rows.select(ntz("timestamp_utc").alias("timestamp_utc"), "in_zone", "psr_type", "quantity_mw", "resolution")
 
 

@@ -40,7 +40,7 @@ def valid_rows(spark, sf_dir):
 @query(
     "val2_rejected_rows",
     """SELECT CASE WHEN event_type = 'error' THEN 'value:event_type' ELSE 'above:value' END AS rejection_reason,
-        event_id, least(500, 44 + length(CAST(event_id AS VARCHAR)) + length(event_type)
+        event_id, least(500, 40 + length(CAST(event_id AS VARCHAR)) + length(event_type)
             + length(CAST(user_id AS VARCHAR))) AS payload_chars
     FROM events WHERE event_type = 'error' OR value > 50""",
 )

@@ -9,6 +9,7 @@ from tarn.functions import formulas
 from tarn.operators.aggregates import best_per_group, latest_per_key, weighted_mean
 from tarn.operators.joins import join_rate, lookup, lookup_name, lookup_pattern, rate_calendar
 from tarn.operators.series import change_bps, fill_calendar, simple_return
+from tarn.session import stage
 from tarn.operators.validate import business_days, deduplicate, only_series
 
 
@@ -56,7 +57,9 @@ def cloud_gpu_pricing(
     """
     latest = latest_per_key(
         prices, ["provider", "instance_type", "region"], "captured_at", ["sku_name", "price_usd_per_hour"]
-    ).withColumn("valid_from", F.to_date("captured_at"))
+    )
+    # one row per instance and region, read several times from here on
+    latest = stage(latest.withColumn("valid_from", F.to_date("captured_at")), "latest")
     if fx_rates is None or fx_rates.isEmpty():
         rated = latest.withColumn("eur_usd", F.lit(1.0))
     else:

@@ -33,74 +33,66 @@ def record_fields(df: DataFrame, schema: T.StructType, record: str = "record") -
     return df.select(*[c for c in df.columns if c != record], *fields)
 
 
-MARKET_DOCUMENT = T.StructType(
-    [
-        T.StructField("MktPSRType", T.StructType([T.StructField("psrType", T.StringType())])),
-        T.StructField("inBiddingZone_Domain.mRID", T.StringType()),
-        T.StructField("outBiddingZone_Domain.mRID", T.StringType()),
-        T.StructField(
-            "Period",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField(
-                            "timeInterval", T.StructType([T.StructField("start", T.StringType())])
-                        ),
-                        T.StructField("resolution", T.StringType()),
-                        T.StructField(
-                            "Point",
-                            T.ArrayType(
-                                T.StructType(
-                                    [
-                                        T.StructField("position", T.IntegerType()),
-                                        T.StructField("quantity", T.DoubleType()),
-                                    ]
-                                )
-                            ),
-                        ),
-                    ]
-                )
-            ),
-        ),
-    ]
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+_POINT = _struct(position=T.IntegerType(), quantity=T.DoubleType())
+_PERIOD = _struct(
+    timeInterval=_struct(start=T.StringType()),
+    resolution=T.StringType(),
+    Point=T.ArrayType(_POINT),
 )
+_SERIES = (
+    _struct(MktPSRType=_struct(psrType=T.StringType()))
+    .add("inBiddingZone_Domain.mRID", T.StringType())
+    .add("outBiddingZone_Domain.mRID", T.StringType())
+    .add("Period", T.ArrayType(_PERIOD))
+)
+MARKET_DOCUMENT = _struct(TimeSeries=T.ArrayType(_SERIES))
 
 
-def read_market_documents(spark: SparkSession, path: str) -> DataFrame:
+def document_points(df: DataFrame, body: str) -> DataFrame:
     """One row per point of the time series in generation and load XML documents.
 
     A point's time is the start of its period plus (position - 1) resolutions;
     the resolution is PT15M or PT60M, any other text of the form PTnM works.
     """
-    series = (
-        spark.read.format("xml")
-        .option("rowTag", "TimeSeries")
-        .option("ignoreNamespace", "true")
-        .schema(MARKET_DOCUMENT)
-        .load(path)
-    )
+    parsed = F.from_xml(F.col(body), MARKET_DOCUMENT, {"ignoreNamespace": "true"})
+    series = df.select(F.explode(parsed["TimeSeries"]).alias("s"))
     points = series.select(
-        F.col("`inBiddingZone_Domain.mRID`").alias("in_zone"),
-        F.col("`outBiddingZone_Domain.mRID`").alias("out_zone"),
-        F.col("MktPSRType.psrType").alias("psr_type"),
-        F.explode("Period").alias("p"),
+        F.col("s.`inBiddingZone_Domain.mRID`").alias("in_zone"),
+        F.col("s.`outBiddingZone_Domain.mRID`").alias("out_zone"),
+        F.col("s.MktPSRType.psrType").alias("psr_type"),
+        F.explode("s.Period").alias("p"),
     ).select(
         "in_zone",
         "out_zone",
         "psr_type",
-        F.to_timestamp("p.timeInterval.start").alias("start"),
+        F.try_to_timestamp(
+            "p.timeInterval.start", F.lit("yyyy-MM-dd'T'HH:mm[:ss]XXX")
+        ).alias("start"),
         F.col("p.resolution").alias("resolution"),
         F.explode("p.Point").alias("point"),
     )
     minutes = F.regexp_extract("resolution", r"^PT(\d+)M$", 1).try_cast("int")
+    after = F.make_dt_interval(mins=(F.col("point.position") - F.lit(1)) * minutes)
     return points.select(
-        (
-            F.col("start")
-            + F.make_dt_interval(mins=(F.col("point.position") - F.lit(1)) * minutes)
-        ).alias("timestamp_utc"),
+        (F.col("start") + after).alias("timestamp_utc"),
         "in_zone",
         "out_zone",
         "psr_type",
         F.col("point.quantity").alias("quantity_mw"),
         "resolution",
     )
+
+
+def unreadable_documents(df: DataFrame, body: str) -> DataFrame:
+    """Bodies that are no market document, such as error pages: they give no point."""
+    parsed = F.from_xml(F.col(body), MARKET_DOCUMENT, {"ignoreNamespace": "true"})
+    return df.filter(parsed["TimeSeries"].isNull())
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Landed response files, one document each, as a ``body`` column."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "body")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,19 +49,27 @@ def overwrite_table(
 ) -> None:
     """Replace a Silver or Gold table; running twice gives the same table.
 
-    The new content is written in full before the old one is dropped, so the
-    input may be read from the table it replaces.
+    The new content goes to a folder of its own and the table is then pointed
+    at it, so the input may be read from the table it replaces, nothing is
+    written twice, and a run that fails leaves the old content in place. Old
+    folders stay until a retention job removes them.
     """
-    spark = df.sparkSession
+    spark, name = df.sparkSession, f"{namespace}.{table}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-    name = f"{namespace}.{table}"
-    if spark.catalog.tableExists(name):
-        df = stage(df, "overwrite")
+    base = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
+    path = f"{base}/{table}_versions/{uuid.uuid4().hex}"
     writer = _rebalanced(df, partition_by[0] if partition_by else None).write
-    writer = writer.mode("overwrite").format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if spark.catalog.tableExists(name):
+        if not partition_by and spark.table(name).dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            return
+        spark.sql(f"DROP TABLE {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+        spark.catalog.recoverPartitions(name)
 
 
 def rejected_rows(
@@ -133,12 +142,14 @@ def upsert_table(
         return
     touched = source.select(partition_by).distinct()
     merged = upserted(target.join(touched, partition_by, "left_semi").select(target.columns), source, key)
-    (
-        _rebalanced(stage(merged, "upsert").select(target.columns), partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+    replacement = _rebalanced(stage(merged, "upsert").select(target.columns), partition_by)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        replacement.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def _single(source: DataFrame, key: Sequence[str]) -> DataFrame:

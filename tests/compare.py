@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -16,6 +17,10 @@ from tarn.plans.bindings import ORACLES, QUERIES  # noqa: E402
 from tarn.plans.bindings.registry import TABLES  # noqa: E402
 
 
+SPILL = tempfile.mkdtemp(prefix="run-")
+TIMES: dict[str, float] = {}
+
+
 def _cell(value):
     if value is None:
         return "<null>"
@@ -40,6 +45,8 @@ def _rows(columns, rows):
 def oracle(sf_dir: str, name: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET temp_directory = '{SPILL}'")
+    con.execute("SET max_temp_directory_size = '1GB'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     cursor = con.execute(ORACLES[name])
@@ -53,7 +60,9 @@ def actual(spark, sf_dir: str, name: str):
 
 
 def difference(spark, sf_dir: str, name: str) -> str | None:
+    started = time.time()
     got_columns, got = actual(spark, sf_dir, name)
+    TIMES[name] = time.time() - started
     if name not in ORACLES:
         return None if got else "no rows"
     want_columns, want = oracle(sf_dir, name)
@@ -77,11 +86,10 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0
     for name in [q for q in QUERIES if any(q.startswith(w) for w in wanted)]:
-        started = time.time()
         try:
             found = difference(spark, sf_dir, name)
         except Exception as error:  # noqa: BLE001
             found = f"{type(error).__name__}: {str(error)[:700]}"
         bad += found is not None
-        print(f"{'ok  ' if found is None else 'FAIL'} {time.time() - started:6.2f}s {name} {found or ''}", flush=True)
+        print(f"{'ok  ' if found is None else 'FAIL'} {TIMES.get(name, 0):6.2f}s {name} {found or ''}", flush=True)
     print(f"{bad} differ")
