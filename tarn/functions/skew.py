@@ -42,6 +42,10 @@ def null_safe_join(
     for c in on:
         term = left[c].eqNullSafe(renamed[f"_r_{c}"])
         condition = term if condition is None else condition & term
+    if condition is None:
+        # both sides are single rows of totals
+        one = F.lit(1).alias("_one")
+        return left.select("*", one).join(renamed.select("*", one), "_one", how).drop("_one")
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 

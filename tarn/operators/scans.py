@@ -187,36 +187,56 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(n).alias("_q"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("_rank"))
-            for n, q in quantiles.items()
-        ]
+    last = F.col("_n") - F.lit(1)
+    # each quantile lies between the rows numbered floor and ceil of its rank
+    wanted = F.array_distinct(
+        F.flatten(
+            F.array(
+                *[
+                    F.array(
+                        F.struct(F.floor(F.lit(float(q)) * last).alias("_row")),
+                        F.struct(F.ceil(F.lit(float(q)) * last).alias("_row")),
+                    )
+                    for q in quantiles.values()
+                ]
+            )
+        )
+    )
+    totals = stage(
+        counted.groupBy(*keys).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        ),
+        "totals",
     )
     # a range: the rows of a key with values from _low to _high, _left in number, _before below it
-    ranges = stage(
-        counted.groupBy(*keys)
-        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        .select(*keys, F.inline(wanted), "_low", "_high", F.col("_n").alias("_left"), F.lit(0).cast("long").alias("_before")),
-        "ranges",
+    ranges = totals.select(
+        *keys,
+        F.inline(wanted),
+        "_low",
+        "_high",
+        F.col("_n").alias("_left"),
+        F.lit(0).cast("long").alias("_before"),
     )
     while not ranges.filter((F.col("_left") > most) & (F.col("_low") < F.col("_high"))).isEmpty():
         ranges = stage(_narrowed(counted, ranges, keys, bins), "ranges")
     upto = (
-        Window.partitionBy(*keys, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_row").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    found = (
+        _in_ranges(counted, ranges, keys)
+        .withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
+        .filter((F.col("_end") - F.col("_n") <= F.col("_row")) & (F.col("_row") < F.col("_end")))
+        .groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_set(F.struct("_row", "_v"))).alias("_at"))
     )
-    ranked = _in_ranges(counted, ranges, keys).withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
-    start = F.col("_end") - F.col("_n")
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < F.col("_end")), F.col("_v")))
+    def quantile(q: float) -> Column:
+        rank = F.lit(float(q)) * last
+        low, high = F.try_element_at("_at", F.floor(rank)), F.try_element_at("_at", F.ceil(rank))
+        return low + (high - low) * (rank - F.floor(rank))
 
-    points = ranked.groupBy(*keys, "_q", "_rank").agg(
-        at(F.floor("_rank")).alias("_a"), at(F.ceil("_rank")).alias("_b")
-    )
-    between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - F.floor("_rank"))
-    return points.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_q") == name, between)).alias(name) for name in quantiles]
+    return null_safe_join(totals, found, keys).select(
+        *keys, *[quantile(q).alias(name) for name, q in quantiles.items()]
     )
 
 
@@ -234,25 +254,20 @@ def _in_ranges(counted: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFr
 
 
 def _narrowed(counted: DataFrame, ranges: DataFrame, keys: list[str], bins: int) -> DataFrame:
+    # the lowest and the highest value never share a bin, so every pass shortens a range
     span = F.col("_high") - F.col("_low")
-    place = F.when(span > 0, F.floor((F.col("_v") - F.col("_low")) / span * F.lit(bins))).otherwise(F.lit(0))
+    place = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_low"), span) * F.lit(bins)), F.lit(0))
     cut = (
         _in_ranges(counted, ranges, keys)
-        .groupBy(*keys, "_q", "_rank", "_before", place.cast("long").alias("_bin"))
+        .groupBy(*keys, "_row", "_before", place.cast("long").alias("_bin"))
         .agg(F.sum("_n").alias("_left"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
     upto = (
-        Window.partitionBy(*keys, "_q").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_row").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     )
-    start = F.col("_end") - F.col("_left")
     return (
         cut.withColumn("_end", F.col("_before") + F.sum("_left").over(upto))
-        .filter((start <= F.ceil("_rank")) & (F.floor("_rank") < F.col("_end")))
-        .groupBy(*keys, "_q", "_rank")
-        .agg(
-            F.min("_low").alias("_low"),
-            F.max("_high").alias("_high"),
-            F.sum("_left").cast("long").alias("_left"),
-            F.min(start).cast("long").alias("_before"),
-        )
+        .withColumn("_before", F.col("_end") - F.col("_left"))
+        .filter((F.col("_before") <= F.col("_row")) & (F.col("_row") < F.col("_end")))
+        .drop("_bin", "_end")
     )
