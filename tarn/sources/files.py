@@ -72,7 +72,7 @@ def read_directory(
                 frame = _read(spark, fmt, path, f"*.{name}", merge_schema)
                 if glob not in ("*", f"*.{name}"):
                     # the metadata predicate prunes whole files, nothing is read to apply it
-                    frame = frame.filter(F.col("_metadata.file_name").rlike(fnmatch.translate(glob)))
+                    frame = frame.filter(F.col("_metadata.file_name").rlike("^" + fnmatch.translate(glob)))
                 frames.append(frame)
     if with_path:
         frames = [f.withColumn("_file", F.col("_metadata.file_path")) for f in frames]

@@ -67,14 +67,14 @@ def run_sql(
 
 
 def _within(df: DataFrame, timeout_s: float) -> DataFrame:
-    spark, tag, late = df.sparkSession, f"tarn-{uuid.uuid4().hex}", threading.Event()
+    context, tag, late = df.sparkSession.sparkContext, f"tarn-{uuid.uuid4().hex}", threading.Event()
 
     def cancel() -> None:
         late.set()
-        spark.interruptTag(tag)
+        context.cancelJobsWithTag(tag)
 
     timer = threading.Timer(timeout_s, cancel)
-    spark.addTag(tag)
+    context.addJobTag(tag)
     timer.start()
     try:
         return stage(df, "sql")
@@ -84,7 +84,7 @@ def _within(df: DataFrame, timeout_s: float) -> DataFrame:
         raise ValueError(str(error)) from error
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        context.removeJobTag(tag)
 
 
 def staging_view(spark: SparkSession, source_table: str, view: str, permanent: bool = False) -> DataFrame:
