@@ -21,14 +21,14 @@ SALTS = 64
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Count rows and text size of ``df``, reading no further than the row bound."""
-    size = (
-        df.limit(max_rows + 1)
-        .select(F.octet_length(F.to_json(F.struct("*"))).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
-        .first()
-    )
-    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+    """Whether ``df`` was counted to be below a number of rows and of bytes of JSON text.
+
+    Both are plain aggregates; the text is measured only if the rows are few.
+    """
+    if df.count() > max_rows:
+        return False
+    size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("b")).agg(F.sum("b")).first()[0]
+    return (size or 0) <= max_bytes
 
 
 def null_safe_join(
@@ -43,9 +43,7 @@ def null_safe_join(
         term = left[c].eqNullSafe(renamed[f"_r_{c}"])
         condition = term if condition is None else condition & term
     if condition is None:
-        # both sides are single rows of totals
-        one = F.lit(1).alias("_one")
-        return left.select("*", one).join(renamed.select("*", one), "_one", how).drop("_one")
+        raise ValueError("a join needs at least one key")
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 

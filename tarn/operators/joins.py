@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.skew import dimension_join, hashable, row_salt
-from tarn.operators.scans import SEGMENT_ROWS, time_segment
+from tarn.operators.scans import SEGMENT_ROWS, time_segment, whole
 from tarn.operators.series import fill_calendar
 from tarn.session import stage
 
@@ -128,7 +128,7 @@ def asof_join(
     """
     keys = list(keys)
     _, width = time_segment(facts, keys, ts, segment_rows * salts)
-    cut = lambda c: F.floor(F.unix_micros(F.col(c)) / F.lit(width)).cast("long")
+    cut = lambda c: whole(F.unix_micros(F.col(c)), width)
     points = rates.groupBy(*keys, F.col(rate_ts).alias("_ts")).agg(F.max(rate).alias("_rate"))
     points = points.withColumn("_segment", cut("_ts"))
     tails = points.groupBy(*keys, "_segment").agg(F.max_by("_rate", "_ts").alias("_tail"))

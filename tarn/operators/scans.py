@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.functions.skew import dimension_join, null_safe_join
+from tarn.functions.skew import dimension_join
 from tarn.session import stage
 
 BLOCK_ROWS = 50_000
@@ -21,6 +21,11 @@ SEGMENT_ROWS = 2_000_000
 GROUP_VALUES = 2_000_000
 
 
+def whole(number: Column, width: int) -> Column:
+    """Whole multiples of ``width`` in a long, rounded down, in long arithmetic."""
+    return F.call_function("div", number - F.pmod(number, F.lit(width)), F.lit(width))
+
+
 def time_segment(
     df: DataFrame, keys: Sequence[str], ts: str, rows: int = SEGMENT_ROWS
 ) -> tuple[Column, int]:
@@ -33,7 +38,7 @@ def time_segment(
     second = 1_000_000
     width = 86_400 * second
     while True:
-        number = F.floor(F.unix_micros(F.col(ts)) / F.lit(width)).cast("long")
+        number = whole(F.unix_micros(F.col(ts)), width)
         sizes = df.groupBy(*keys, number.alias("_segment")).agg(F.count(F.lit(1)).alias("n"))
         fullest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0
         if fullest <= rows or width == second:
@@ -41,6 +46,32 @@ def time_segment(
         width = max(second, width // max(2, -(-fullest // rows)) // second * second)
 
 
+def _before_segments(
+    rows: DataFrame, keys: list[str], total: Column, before: Column
+) -> DataFrame:
+    """One row per key and segment: ``before`` applied to the ``total`` of earlier segments.
+
+    These rows are put in front of their segment (``_mark`` 0), so the window
+    over a segment finds what came before it without a join, and the rows are
+    shuffled only once.
+    """
+    totals = rows.groupBy(*keys, "_segment").agg(total.alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*keys, "_segment", before.over(earlier).alias("_given"), F.lit(0).alias("_mark"))
+
+
+def _fronted(rows: DataFrame, fronts: DataFrame) -> DataFrame:
+    return rows.withColumn("_mark", F.lit(1)).unionByName(fronts, allowMissingColumns=True)
+
+
+def _segment_window(keys: list[str], order: Sequence[str]):
+    return (
+        Window.partitionBy(*keys, "_segment")
+        .orderBy("_mark", *order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+
+
 def with_positions(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,20 +85,14 @@ def with_positions(
     sorts one segment; the numbers of rows before each segment come from a
     summary counted on the map side.
     """
-    keys, order = list(keys), list(order)
-    cut = df.withColumn("_segment", segment)
-    sizes = cut.groupBy(*keys, "_segment").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys, "_segment", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-    )
-    inside = Window.partitionBy(*keys, "_segment").orderBy(*order)
-    ranked = cut.withColumn("_rank", F.row_number().over(inside))
-    return (
-        null_safe_join(ranked, offsets, [*keys, "_segment"])
-        .withColumn(out, F.col("_before") + F.col("_rank") - F.lit(1))
-        .drop("_segment", "_before", "_rank")
-    )
+    keys = list(keys)
+    rows = df.withColumn("_segment", segment)
+    fronts = _before_segments(rows, keys, F.count(F.lit(1)), F.sum("_total"))
+    # the front row carries the number of earlier rows, every other row counts one
+    counted = F.when(F.col("_mark") == 0, F.coalesce("_given", F.lit(0))).otherwise(F.lit(1))
+    placed = _fronted(rows, fronts).withColumn("_count", counted)
+    numbered = placed.withColumn(out, F.sum("_count").over(_segment_window(keys, order)) - F.lit(1))
+    return numbered.filter("_mark = 1").drop("_segment", "_mark", "_given", "_count")
 
 
 def over_blocks(
@@ -87,7 +112,7 @@ def over_blocks(
     """
     if max(before, after) > block:
         raise ValueError("a frame may not be longer than a block")
-    own = F.floor(F.col(position) / F.lit(block)).cast("long")
+    own = whole(F.col(position), block)
     offset = F.col(position) % F.lit(block)
     homes = F.array_compact(
         F.array(
@@ -117,24 +142,16 @@ def carry_forward(
     segments the last value of each earlier one is carried along the summary.
     """
     keys = list(keys)
-    cut = df.withColumn("_segment", segment)
+    rows = df.withColumn("_segment", segment)
     present = F.when(F.col(value).isNotNull(), F.col(ts))
-    tails = cut.groupBy(*keys, "_segment").agg(F.max_by(value, present).alias("_tail"))
-    earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(
-        *keys, "_segment", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried")
-    )
-    upto = (
-        Window.partitionBy(*keys, "_segment")
-        .orderBy(ts)
-        .rowsBetween(Window.unboundedPreceding, 0)
+    fronts = _before_segments(
+        rows, keys, F.max_by(value, present), F.last("_total", ignorenulls=True)
     )
-    filled = cut.withColumn(out, F.last(value, ignorenulls=True).over(upto))
-    return (
-        null_safe_join(filled, carried, [*keys, "_segment"])
-        .withColumn(out, F.coalesce(out, "_carried"))
-        .drop("_segment", "_carried")
+    known = F.coalesce("_given", F.col(value))
+    filled = _fronted(rows, fronts).withColumn(
+        out, F.last(known, ignorenulls=True).over(_segment_window(keys, [ts]))
     )
+    return filled.filter("_mark = 1").drop("_segment", "_mark", "_given")
 
 
 def running_total(
@@ -147,23 +164,11 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``value`` over the rows of a key up to and including each row."""
     keys = list(keys)
-    cut = df.withColumn("_segment", segment).withColumn("_v", value)
-    sums = cut.groupBy(*keys, "_segment").agg(F.sum("_v").alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *keys, "_segment", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
-    )
-    upto = (
-        Window.partitionBy(*keys, "_segment")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    summed = cut.withColumn("_inside", F.coalesce(F.sum("_v").over(upto), F.lit(0)))
-    return (
-        null_safe_join(summed, offsets, [*keys, "_segment"])
-        .withColumn(out, F.col("_before") + F.col("_inside"))
-        .drop("_segment", "_v", "_before", "_inside")
-    )
+    rows = df.withColumn("_segment", segment).withColumn("_v", value)
+    fronts = _before_segments(rows, keys, F.sum("_v"), F.sum("_total"))
+    parts = _fronted(rows, fronts).withColumn("_part", F.coalesce("_given", "_v", F.lit(0)))
+    summed = parts.withColumn(out, F.sum("_part").over(_segment_window(keys, order)))
+    return summed.filter("_mark = 1").drop("_segment", "_v", "_mark", "_given", "_part")
 
 
 def exact_quantiles(
@@ -202,20 +207,20 @@ def exact_quantiles(
             )
         )
     )
-    totals = stage(
-        counted.groupBy(*keys).agg(
-            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-        ),
-        "totals",
-    )
     # a range: the rows of a key with values from _low to _high, _left in number, _before below it
-    ranges = totals.select(
-        *keys,
-        F.inline(wanted),
-        "_low",
-        "_high",
-        F.col("_n").alias("_left"),
-        F.lit(0).cast("long").alias("_before"),
+    ranges = stage(
+        counted.groupBy(*keys)
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .select(
+            *keys,
+            F.col("_n").alias("_all"),
+            F.inline(wanted),
+            "_low",
+            "_high",
+            F.col("_n").alias("_left"),
+            F.lit(0).cast("long").alias("_before"),
+        ),
+        "ranges",
     )
     while not ranges.filter((F.col("_left") > most) & (F.col("_low") < F.col("_high"))).isEmpty():
         ranges = stage(_narrowed(counted, ranges, keys, bins), "ranges")
@@ -226,8 +231,12 @@ def exact_quantiles(
         _in_ranges(counted, ranges, keys)
         .withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
         .filter((F.col("_end") - F.col("_n") <= F.col("_row")) & (F.col("_row") < F.col("_end")))
+        # two values per quantile
         .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_set(F.struct("_row", "_v"))).alias("_at"))
+        .agg(
+            F.max("_all").alias("_n"),
+            F.map_from_entries(F.collect_set(F.struct("_row", "_v"))).alias("_at"),
+        )
     )
 
     def quantile(q: float) -> Column:
@@ -235,9 +244,7 @@ def exact_quantiles(
         low, high = F.try_element_at("_at", F.floor(rank)), F.try_element_at("_at", F.ceil(rank))
         return low + (high - low) * (rank - F.floor(rank))
 
-    return null_safe_join(totals, found, keys).select(
-        *keys, *[quantile(q).alias(name) for name, q in quantiles.items()]
-    )
+    return found.select(*keys, *[quantile(q).alias(name) for name, q in quantiles.items()])
 
 
 def _in_ranges(counted: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
@@ -259,7 +266,7 @@ def _narrowed(counted: DataFrame, ranges: DataFrame, keys: list[str], bins: int)
     place = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_low"), span) * F.lit(bins)), F.lit(0))
     cut = (
         _in_ranges(counted, ranges, keys)
-        .groupBy(*keys, "_row", "_before", place.cast("long").alias("_bin"))
+        .groupBy(*keys, "_all", "_row", "_before", place.cast("long").alias("_bin"))
         .agg(F.sum("_n").alias("_left"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
     upto = (

@@ -20,6 +20,7 @@ from tarn.operators.scans import (
     exact_quantiles,
     over_blocks,
     time_segment,
+    whole,
     with_positions,
 )
 
@@ -340,7 +341,7 @@ def not_increasing(df: DataFrame, keys: Sequence[str], position: str, day: str,
     ``position`` is the load number of a row (whole, unique within a key).
     """
     ordered = with_positions(
-        df, keys, [position], F.floor(F.col(position) / F.lit(block_of)).cast("long")
+        df, keys, [position], whole(F.col(position).cast("long"), block_of)
     )
     seen = over_blocks(
         ordered, keys, {"previous_day": lambda w: F.lag(day).over(w)}, before=1

@@ -19,8 +19,11 @@ ENTITIES = {
 
 
 def _matches(text: Column, pattern: str, allow: Sequence[str]) -> Column:
+    """Number of matches, terms of the allowlist left out."""
+    if not allow:
+        return F.regexp_count(text, F.lit(pattern)).cast("long")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.filter(found, lambda x: ~x.isin(*allow)) if allow else found
+    return F.size(F.filter(found, lambda x: ~x.isin(*allow))).cast("long")
 
 
 def detect_entities(
@@ -32,12 +35,15 @@ def detect_entities(
     piece of text counts once. A match equal to an allowed term does not
     count. Records without any entity give no row.
     """
-    rest, counts = F.col(text), []
-    for name, pattern in ENTITIES.items():
-        n = F.size(_matches(rest, pattern, allow)).cast("long")
-        counts.append(F.struct(F.lit(name).alias("entity_type"), n.alias("n")))
-        rest = _tagged(rest, name, pattern, allow)
-    return df.select(*keys, F.inline(F.array(*counts))).filter("n > 0")
+    left, counts = df.withColumn("_rest", F.col(text)), []
+    for i, (name, pattern) in enumerate(ENTITIES.items()):
+        # a step of its own, so that no pattern runs twice over a text
+        left = left.withColumn(f"_n{i}", _matches(F.col("_rest"), pattern, allow))
+        tagged = _tagged(F.col("_rest"), name, pattern, allow)
+        left = left.withColumn("_rest", F.when(F.col(f"_n{i}") > 0, tagged).otherwise(F.col("_rest")))
+        counts.append(F.struct(F.lit(name).alias("entity_type"), F.col(f"_n{i}").alias("n")))
+    found = F.filter(F.array(*counts), lambda c: c["n"] > 0)
+    return left.select(*keys, F.inline(found))
 
 
 def _tagged(text: Column, name: str, pattern: str, allow: Sequence[str]) -> Column:

@@ -93,8 +93,8 @@ def ingest_summary(spark, sf_dir):
     counts = validate.ingest(events(spark, sf_dir), "events", schema, stamp, event_rules(), db)
     stored = spark.table(f"{db}.events").agg(F.count(F.lit(1)).alias("stored"))
     held = spark.table(f"{db}.rejected_records").agg(F.count(F.lit(1)).alias("quarantined"))
-    both = stored.withColumn("_k", F.lit(1)).join(held.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return both.select(
+    both = stored.unionByName(held, allowMissingColumns=True)
+    return both.agg(F.max("stored").alias("stored"), F.max("quarantined").alias("quarantined")).select(
         F.lit(counts["valid"]).cast("long").alias("valid"),
         F.lit(counts["rejected"]).cast("long").alias("rejected"),
         "stored",
