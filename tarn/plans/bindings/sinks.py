@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tarn.operators.validate import at_most, one_of, split
 from tarn.plans.bindings.registry import events, orders, query, rounded, table
-from tarn.session import scratch_database
+from tarn.session import scratch_database, scratch_path
 from tarn.sources import sinks
+from tarn.sources.files import read_nanosecond_parquet
 from tarn.sources.schemas import TableSchema, columns, declared_schema
 from tarn.sources.tables import scan_table
 
@@ -97,6 +98,16 @@ def lineage_columns(spark, sf_dir):
     return df.select("event_id", F.col("_ingestion_timestamp").cast("timestamp_ntz").alias("ingested_at"), "_source")
 
 
+@query("snk5_nanosecond_times", "SELECT event_id, ts FROM events")
+def nanosecond_times(spark, sf_dir):
+    """Event times as nanosecond counts, some of them between two microseconds."""
+    path = scratch_path(spark, "nanos")
+    nanos = F.unix_micros("ts") * 1000 + F.col("event_id") % 1000
+    events(spark, sf_dir).select("event_id", nanos.alias("ts")).write.parquet(path)
+    schema = columns(event_id="long", ts="long")
+    return read_nanosecond_parquet(spark, path, schema, {"ts": "timestamp"})
+
+
 @query(
     "snk6_schema_on_write",
     """SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, min(CAST(o_orderdate AS DATE)) AS first_day,

@@ -16,6 +16,8 @@ SETTINGS = {
     # split skewed join partitions even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # streamed sessions of a hot key are merged on the map side first
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

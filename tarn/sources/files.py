@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,20 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+# Spark's names for "no such folder" and "no file to take the columns from"
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def _if_any(read, *args):
+    """The result of a read, or None where there is no file to read."""
+    try:
+        return read(*args)
+    except AnalysisException as error:
+        if error.getCondition() in NOTHING_THERE:
+            return None
+        raise
+
+
 def _read(spark: SparkSession, fmt: str, paths, glob: str | None, merge_schema: bool) -> DataFrame:
     reader = spark.read.format(fmt)
     if glob:
@@ -33,7 +48,8 @@ def _read(spark: SparkSession, fmt: str, paths, glob: str | None, merge_schema:
     return reader.load(paths)
 
 
-def _union(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
+def _union(frames: list[DataFrame | None], spark: SparkSession) -> DataFrame:
+    frames = [f for f in frames if f is not None]
     if not frames:
         return spark.createDataFrame([], T.StructType())
     out = frames[0]
@@ -53,20 +69,26 @@ def read_directory(
     """Every Parquet and CSV file below ``path`` that matches ``glob``, as one table.
 
     Other suffixes are skipped. Columns are the union over all files. With
-    ``max_files`` only the first files in path order are read.
+    ``max_files`` only the first files in path order are read. A folder that
+    does not exist, or holds no such file, gives no rows and no columns.
     """
     suffix = glob.rsplit(".", 1)[-1].lower()
     frames = []
+    listing = None
+    if max_files is not None or suffix not in FORMATS:
+        listing = _if_any(list_files, spark, path, glob)
+        if listing is None:
+            return _union([], spark)
     if max_files is not None:
-        first = list_files(spark, path, glob).orderBy("path").limit(max_files).collect()
+        first = listing.orderBy("path").limit(max_files).collect()
         for name, fmt in FORMATS.items():
             paths = [r["path"] for r in first if r["suffix"] == name]
             if paths:
                 frames.append(_read(spark, fmt, paths, None, merge_schema))
     elif suffix in FORMATS:
-        frames.append(_read(spark, FORMATS[suffix], path, glob, merge_schema))
+        frames.append(_if_any(_read, spark, FORMATS[suffix], path, glob, merge_schema))
     else:
-        present = {r["suffix"] for r in list_files(spark, path, glob).select("suffix").distinct().collect()}
+        present = {r["suffix"] for r in listing.select("suffix").distinct().collect()}
         for name, fmt in FORMATS.items():
             if name in present:
                 frame = _read(spark, fmt, path, f"*.{name}", merge_schema)
@@ -75,7 +97,7 @@ def read_directory(
                     frame = frame.filter(F.col("_metadata.file_name").rlike("^" + fnmatch.translate(glob)))
                 frames.append(frame)
     if with_path:
-        frames = [f.withColumn("_file", F.col("_metadata.file_path")) for f in frames]
+        frames = [f and f.withColumn("_file", F.col("_metadata.file_path")) for f in frames]
     return _union(frames, spark)
 
 
@@ -92,12 +114,11 @@ def read_prefix(
 ) -> DataFrame:
     """Every object under ``root`` whose key starts with ``prefix`` (``s3a://bucket`` or a folder)."""
     base = f"{root.rstrip('/')}/{prefix.lstrip('/')}*"
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-        .select(F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("suffix"))
-    )
+    listing = _if_any(list_files, spark, base)
+    if listing is None:
+        return _union([], spark)
     formats: dict[str, list[str]] = {}
-    for r in listing.distinct().collect():
+    for r in listing.select("suffix").distinct().collect():
         formats.setdefault(prefix_format(r["suffix"], glob), []).append(r["suffix"])
     frames = []
     for fmt, suffixes in sorted(formats.items()):

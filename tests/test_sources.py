@@ -81,6 +81,13 @@ def test_directory_scan_unions_formats_and_columns(spark, folder):
     assert paths.endswith("three.csv")
 
 
+def test_nothing_to_read_gives_no_rows(spark, folder):
+    for glob in ("*.parquet", "*.csv", "*"):
+        assert files.read_directory(spark, f"{folder}/absent", glob).isEmpty()
+        assert files.read_directory(spark, folder, glob).isEmpty()
+    assert files.read_prefix(spark, folder, "absent").isEmpty()
+
+
 def test_prefix_scan(spark, folder):
     pq.write_table(pa.table({"id": [1]}), f"{folder}/sales-1.parquet")
     pq.write_table(pa.table({"id": [2]}), f"{folder}/sales-2.parquet")
