@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from tarn.operators.scans import (
     SEGMENT_ROWS,
     exact_quantiles,
-    over_blocks,
+    previous_value,
     running_total,
     time_segment,
-    with_positions,
 )
 from tarn.operators.validate import deduplicate
 from tarn.functions.skew import null_safe_join
@@ -241,17 +240,12 @@ def sessions(
 ) -> DataFrame:
     """Runs of rows of a key with less than ``gap_seconds`` between neighbours.
 
-    Rows are numbered and compared within blocks, session numbers are running
+    Rows are compared within segments of time, session numbers are running
     totals over segments, and the sessions themselves are plain aggregates; no
     task sees all rows of a hot key.
     """
     cut, _ = time_segment(df, keys, ts, segment_rows)
-    ordered = over_blocks(
-        with_positions(df, keys, [ts, tiebreak], cut),
-        keys,
-        {"_previous": lambda w: F.lag(ts).over(w)},
-        before=1,
-    )
+    ordered = previous_value(df, keys, [ts, tiebreak], ts, cut, "_previous")
     apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.col("_previous"))
     opens = F.when(apart < F.lit(gap_seconds * 1_000_000), F.lit(0)).otherwise(F.lit(1))
     numbered = running_total(ordered, keys, [ts, tiebreak], opens, cut, "session_no")

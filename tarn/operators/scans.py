@@ -154,6 +154,25 @@ def carry_forward(
     return filled.filter("_mark = 1").drop("_segment", "_mark", "_given")
 
 
+def previous_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    segment: Column,
+    out: str,
+) -> DataFrame:
+    """``value`` in the row before each row of a key by ``order``, which must be total."""
+    keys = list(keys)
+    rows = df.withColumn("_segment", segment)
+    final = F.max_by(value, F.struct(*order))
+    fronts = _before_segments(rows, keys, final, F.last("_total"))
+    seen = F.when(F.col("_mark") == 0, F.col("_given")).otherwise(F.col(value))
+    w = Window.partitionBy(*keys, "_segment").orderBy("_mark", *order)
+    placed = _fronted(rows, fronts).withColumn(out, F.lag(seen).over(w))
+    return placed.filter("_mark = 1").drop("_segment", "_mark", "_given")
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -194,27 +213,17 @@ def exact_quantiles(
     )
     last = F.col("_n") - F.lit(1)
     # each quantile lies between the rows numbered floor and ceil of its rank
-    wanted = F.array_distinct(
-        F.flatten(
-            F.array(
-                *[
-                    F.array(
-                        F.struct(F.floor(F.lit(float(q)) * last).alias("_row")),
-                        F.struct(F.ceil(F.lit(float(q)) * last).alias("_row")),
-                    )
-                    for q in quantiles.values()
-                ]
-            )
-        )
-    )
-    # a range: the rows of a key with values from _low to _high, _left in number, _before below it
+    ranks = [F.lit(float(q)) * last for q in quantiles.values()]
+    wanted = F.array_distinct(F.array(*[f(r) for r in ranks for f in (F.floor, F.ceil)]))
+    # a range: the rows of a key with values from _low to _high, _left in number, _before below
+    # it, and the numbers of the wanted rows among them
     ranges = stage(
         counted.groupBy(*keys)
         .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
         .select(
             *keys,
             F.col("_n").alias("_all"),
-            F.inline(wanted),
+            wanted.alias("_rows"),
             "_low",
             "_high",
             F.col("_n").alias("_left"),
@@ -222,15 +231,13 @@ def exact_quantiles(
         ),
         "ranges",
     )
-    while not ranges.filter((F.col("_left") > most) & (F.col("_low") < F.col("_high"))).isEmpty():
-        ranges = stage(_narrowed(counted, ranges, keys, bins), "ranges")
-    upto = (
-        Window.partitionBy(*keys, "_row").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    wide = (F.col("_left") > most) & (F.col("_low") < F.col("_high"))
+    while not ranges.filter(wide).isEmpty():
+        narrower = _narrowed(counted, ranges.filter(wide), keys, bins)
+        ranges = stage(ranges.filter(~wide).unionByName(narrower), "ranges")
     found = (
-        _in_ranges(counted, ranges, keys)
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
-        .filter((F.col("_end") - F.col("_n") <= F.col("_row")) & (F.col("_row") < F.col("_end")))
+        _numbered(_in_ranges(counted, ranges, keys), keys, "_v")
+        .select(*keys, "_all", F.explode(_rows_within()).alias("_row"), "_v")
         # two values per quantile
         .groupBy(*keys)
         .agg(
@@ -248,6 +255,7 @@ def exact_quantiles(
 
 
 def _in_ranges(counted: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Counted values that fall into a range of their key, with the range."""
     side = ranges.withColumn("_key", F.xxhash64(F.lit(0), *keys))
     rows = counted.withColumn("_key", F.xxhash64(F.lit(0), *keys))
     same = F.lit(True)
@@ -260,21 +268,36 @@ def _in_ranges(counted: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFr
     )
 
 
+def _numbered(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Numbers of the first row (_start) and after the last row (_end) each counted row stands for."""
+    upto = (
+        Window.partitionBy(*keys, "_low", "_before")
+        .orderBy(order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ended = rows.withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
+    return ended.withColumn("_start", F.col("_end") - F.col("_n"))
+
+
+def _rows_within() -> Column:
+    return F.filter("_rows", lambda r: (F.col("_start") <= r) & (r < F.col("_end")))
+
+
 def _narrowed(counted: DataFrame, ranges: DataFrame, keys: list[str], bins: int) -> DataFrame:
     # the lowest and the highest value never share a bin, so every pass shortens a range
-    span = F.col("_high") - F.col("_low")
-    place = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_low"), span) * F.lit(bins)), F.lit(0))
+    place = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(bins)
     cut = (
         _in_ranges(counted, ranges, keys)
-        .groupBy(*keys, "_all", "_row", "_before", place.cast("long").alias("_bin"))
-        .agg(F.sum("_n").alias("_left"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .groupBy(*keys, "_all", "_rows", "_low", "_before", F.floor(place).cast("long").alias("_bin"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lowest"), F.max("_v").alias("_high"))
     )
-    upto = (
-        Window.partitionBy(*keys, "_row").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        cut.withColumn("_end", F.col("_before") + F.sum("_left").over(upto))
-        .withColumn("_before", F.col("_end") - F.col("_left"))
-        .filter((F.col("_before") <= F.col("_row")) & (F.col("_row") < F.col("_end")))
-        .drop("_bin", "_end")
+    kept = _numbered(cut, keys, "_bin").withColumn("_rows", _rows_within()).filter(F.size("_rows") > 0)
+    return kept.select(
+        *keys,
+        "_all",
+        "_rows",
+        F.col("_lowest").alias("_low"),
+        "_high",
+        F.col("_n").alias("_left"),
+        F.col("_start").alias("_before"),
     )

@@ -19,6 +19,7 @@ from tarn.operators.scans import (
     SEGMENT_ROWS,
     exact_quantiles,
     over_blocks,
+    previous_value,
     time_segment,
     whole,
     with_positions,
@@ -340,10 +341,6 @@ def not_increasing(df: DataFrame, keys: Sequence[str], position: str, day: str,
 
     ``position`` is the load number of a row (whole, unique within a key).
     """
-    ordered = with_positions(
-        df, keys, [position], whole(F.col(position).cast("long"), block_of)
-    )
-    seen = over_blocks(
-        ordered, keys, {"previous_day": lambda w: F.lag(day).over(w)}, before=1
-    ).drop("_pos")
+    block = whole(F.col(position).cast("long"), block_of)
+    seen = previous_value(df, keys, [position], day, block, "previous_day")
     return seen.filter(F.col(day) <= F.col("previous_day"))

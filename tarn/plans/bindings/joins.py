@@ -209,7 +209,7 @@ def carbon_intensity(spark, sf_dir):
 
 @query(
     "silver2_benchmark_efficiency",
-    """WITH tdp AS (SELECT p_brand, max(p_size) * 10.0 AS tdp FROM part WHERE p_brand <> 'Brand#3' GROUP BY p_brand),
+    """WITH tdp AS (SELECT p_brand, CAST(max(p_size) * 10 AS DOUBLE) AS tdp FROM part WHERE p_brand <> 'Brand#3' GROUP BY p_brand),
     best AS (SELECT 'v' || year(l_shipdate) || '.0' AS round_id, p_type AS model_name, p_brand AS accelerator,
         max(l_quantity - 10) AS tokens_per_sec FROM lineitem JOIN part ON l_partkey = p_partkey
         WHERE l_linestatus = 'O' AND l_quantity - 10 >= 0 GROUP BY ALL)

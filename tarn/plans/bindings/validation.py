@@ -115,7 +115,7 @@ def skip_ingested(spark, sf_dir):
 
 @query(
     "val6_content_fingerprint",
-    """SELECT count(DISTINCT text) AS documents, sum(length(text)) AS chars
+    """SELECT count(DISTINCT text) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars
     FROM (SELECT DISTINCT text FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'en'))""",
 )
 def content_fingerprint(spark, sf_dir):

@@ -77,6 +77,12 @@ def test_running_total(series):
     assert rows(got, "id", "t") == rows(want, "id", "t")
 
 
+@pytest.mark.parametrize("unit", ["hour", "month"])
+def test_previous_value(series, unit):
+    got = scans.previous_value(series, ["k"], ["ts", "id"], "v", F.date_trunc(unit, "ts"), "p")
+    assert rows(got, "id", "p") == rows(series.withColumn("p", F.lag("v").over(per_key())), "id", "p")
+
+
 def test_segments_shrink_until_they_fit(series):
     _, wide = scans.time_segment(series, ["k"], "ts", rows=10_000)
     number, narrow = scans.time_segment(series, ["k"], "ts", rows=5)
