@@ -64,7 +64,6 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
-            "spark.checkpoint.dir": shared,
             "spark.sql.warehouse.dir": f"{shared}/warehouse",
             "spark.ui.showConsoleProgress": "false",
         },

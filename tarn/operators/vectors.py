@@ -9,16 +9,21 @@ searched in several rounds.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.skew import fits_broadcast
 from tarn.session import stage
 
+# task functions travel with their code, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERIES_PER_ROUND = 10_000
 METRICS = ("cosine", "inner_product", "l2")
 

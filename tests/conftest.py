@@ -20,7 +20,6 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": shared,
             "spark.sql.warehouse.dir": f"{shared}/warehouse",
         },
     )
