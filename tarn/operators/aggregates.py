@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +93,37 @@ def metric(
     return grouped.agg(*columns)
 
 
+@dataclass(frozen=True)
+class SemanticModel:
+    """A table's time column, dimensions, measures and the metrics built on them.
+
+    ``measures`` maps names to (aggregation, SQL expression), ``metrics`` maps
+    metric names to the measure they report. ``entity`` is the primary key, as
+    an SQL expression.
+    """
+
+    entity: str
+    time: str
+    dimensions: Sequence[str]
+    measures: Mapping[str, tuple[str, str]]
+    metrics: Mapping[str, str]
+
+    def query(
+        self, df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), grain: str | None = None
+    ) -> DataFrame:
+        """Metrics by some of the dimensions, and by time if a grain is given."""
+        unknown = (set(metrics) - set(self.metrics)) | (set(by) - set(self.dimensions))
+        if unknown:
+            raise ValueError(f"not in the semantic model: {sorted(unknown)}")
+        measures = {m: self.measures[self.metrics[m]] for m in metrics}
+        return metric(df, measures, by, self.time if grain else None, grain or "day")
+
+    def repeated_entities(self, df: DataFrame) -> DataFrame:
+        """Entity keys that occur more than once: none, if the grain is right."""
+        keys = df.groupBy(F.expr(self.entity).alias("entity"))
+        return keys.agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table, and whether it is above zero."""
     counts = [

@@ -95,6 +95,40 @@ def metric_cube(spark, sf_dir):
     return out.withColumn("revenue", rounded("revenue", 2))
 
 
+ORDER_MODEL = agg.SemanticModel(
+    entity="o_custkey || '|' || cast(o_orderdate AS string) || '|' || o_orderpriority",
+    time="o_orderdate",
+    dimensions=("o_orderstatus", "o_orderpriority"),
+    measures={
+        "avg_price": ("average", "round(o_totalprice * 100)"),
+        "order_count": ("count", "o_orderkey"),
+    },
+    metrics={"mean_order_cents": "avg_price", "orders": "order_count"},
+)
+
+
+@query(
+    "agg6_semantic_model",
+    """SELECT o_orderpriority, date_trunc('quarter', o_orderdate) AS o_orderdate_quarter,
+        round(avg(round(o_totalprice * 100)), 6) AS mean_order_cents, count(o_orderkey) AS orders FROM orders GROUP BY ALL""",
+)
+def semantic_model(spark, sf_dir):
+    out = ORDER_MODEL.query(orders(spark, sf_dir), ["mean_order_cents", "orders"], ["o_orderpriority"], "quarter")
+    return out.withColumns(
+        {"o_orderdate_quarter": ntz("o_orderdate_quarter"), "mean_order_cents": rounded("mean_order_cents")}
+    )
+
+
+@query(
+    "agg6_entity_grain",
+    """SELECT o_custkey || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|' || o_orderpriority AS entity, count(*) AS n
+    FROM orders GROUP BY ALL HAVING count(*) > 1""",
+)
+def entity_grain(spark, sf_dir):
+    """Customers with several orders of one priority on a day."""
+    return ORDER_MODEL.repeated_entities(orders(spark, sf_dir))
+
+
 @query(
     "agg7_row_counts",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) > 0 AS passed FROM {t}" for t in TABLES),
@@ -160,12 +194,15 @@ def slo_breaches(spark, sf_dir):
     return agg.breaches(_slos(spark, sf_dir))
 
 
-@query("agg11_fingerprint")
+@query("agg11_fingerprint", "SELECT count(*) AS row_count, 2::BIGINT AS copies FROM lineitem")
 def fingerprint(spark, sf_dir):
-    """A table and a shuffled copy of it: both rows are equal."""
+    """A table and a shuffled copy of it have the same fingerprint."""
     df = table(spark, sf_dir, "lineitem")
     copy = df.repartition("l_shipdate").select(*reversed(df.columns))
-    return agg.table_fingerprint(df).unionByName(agg.table_fingerprint(copy))
+    prints = agg.table_fingerprint(df).unionByName(agg.table_fingerprint(copy))
+    return prints.groupBy("row_count", "schema", "checksum").agg(F.count(F.lit(1)).alias("copies")).select(
+        "row_count", "copies"
+    )
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tarn.operators import series
 from tarn.operators.validate import business_days, split
-from tarn.plans import gold
+from tarn.plans import gold, silver
 from tarn.plans.bindings.registry import DAILY_CLOSES, daily_closes, events, lineitem, ntz, orders, query, rounded, table
 from tarn.plans.bindings.validation import event_rules
 
@@ -235,6 +235,43 @@ def not_increasing(spark, sf_dir):
     return out.select("o_orderkey", "o_orderdate", "previous_day")
 
 
+@query(
+    "silver4_policy_rates",
+    """WITH last AS (SELECT event_type AS series, CAST(ts AS DATE) AS observation_date, value AS rate FROM events
+        WHERE event_type IN ('view', 'signup') AND isodow(ts) <= 5
+        QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, value) = 1),
+    spine AS (SELECT series, unnest(generate_series(min(observation_date), max(observation_date), INTERVAL 1 DAY))::DATE AS observation_date
+        FROM last GROUP BY series),
+    filled AS (SELECT s.series, s.observation_date, l.rate FROM spine s
+        ASOF LEFT JOIN last l ON s.series = l.series AND s.observation_date >= l.observation_date)
+    SELECT series, observation_date, rate AS rate_pct,
+        round((rate - lag(rate) OVER (PARTITION BY series ORDER BY observation_date)) * 100, 4) AS rate_change_bps FROM filled""",
+)
+def policy_rates(spark, sf_dir):
+    """The day's last event value as rate, published on weekdays only."""
+    bronze = business_days(events(spark, sf_dir), "ts").select(
+        F.col("event_type").alias("series"), F.to_date("ts").alias("observation_date"),
+        F.col("value").alias("rate_pct"), F.col("ts").alias("_ingestion_timestamp"),
+    )
+    out = silver.policy_rates(bronze, ["view", "signup"])
+    return out.withColumn("rate_change_bps", rounded("rate_change_bps", 4))
+
+
+@query(
+    "silver5_market_days",
+    """WITH last AS (SELECT event_type AS symbol, CAST(ts AS DATE) AS observation_date, value + 1 AS close FROM events WHERE isodow(ts) <= 5
+        QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, value) = 1)
+    SELECT symbol, observation_date, close,
+        round(close / lag(close) OVER (PARTITION BY symbol ORDER BY observation_date) - 1, 6) AS daily_return FROM last""",
+)
+def market_days(spark, sf_dir):
+    bronze = events(spark, sf_dir).select(
+        F.col("event_type").alias("symbol"), F.to_date("ts").alias("observation_date"),
+        (F.col("value") + 1).alias("close"), F.col("ts").alias("_ingestion_timestamp"),
+    )
+    return silver.market_days(bronze).withColumn("daily_return", rounded("daily_return"))
+
+
 @query(
     "gold2_efficiency_over_time",
     """WITH b AS (SELECT 'v' || (year(l_shipdate) - 1990) || '.0' AS round_id, year(l_shipdate) AS y, p_type AS model_name, p_brand AS accelerator,

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tarn.plans.bindings.registry import TABLES, events, ntz, orders, query, rounded, table
+from tarn.plans.bindings.registry import TABLES, events, ntz, query, rounded, table
 from tarn.session import scratch_database, scratch_path
 from tarn.sources import envelopes, files, schemas
 from tarn.sources import tables as catalog

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.operators.joins import asof_join
+from tarn.operators.scans import exact_quantiles
 from tarn.plans.bindings.registry import events, orders, query, rounded, table
 from tarn.sources.tables import run_sql
 
@@ -233,11 +234,25 @@ def arrays(spark, sf_dir):
     return df.filter(F.length("word") > 12).groupBy("word").agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query("sql15_approximate")
+@query(
+    "sql15_approximate",
+    """SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts,
+        true AS orders_near, true AS parts_near, true AS median_near FROM lineitem GROUP BY l_returnflag""",
+)
 def approximate(spark, sf_dir):
-    """Sketch-based counts and percentiles."""
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_orderkey", 0.02).alias("orders"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("l_partkey")).alias("parts"),
-        F.percentile_approx("l_extendedprice", 0.5, 1000).alias("median_price"),
+    """Sketch-based counts and a percentile, and whether they are within 10 % of the exact values."""
+    sketched = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        F.approx_count_distinct("l_orderkey", 0.02).alias("orders_about"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("l_partkey")).alias("parts_about"),
+        F.percentile_approx("l_extendedprice", 0.5, 1000).alias("median_about"),
+        F.count_distinct("l_orderkey").alias("orders"),
+        F.count_distinct("l_partkey").alias("parts"),
+    )
+    exact = exact_quantiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", {"median": 0.5})
+    near = lambda about, value: F.abs(F.col(about) - F.col(value)) <= F.col(value) * 0.1
+    return sketched.join(exact, "l_returnflag").select(
+        "l_returnflag", "orders", "parts",
+        near("orders_about", "orders").alias("orders_near"),
+        near("parts_about", "parts").alias("parts_near"),
+        near("median_about", "median").alias("median_near"),
     )

@@ -105,6 +105,15 @@ def approximate_top_k(spark, sf_dir):
     return found.withColumn("score", rounded("score"))
 
 
+@query("vec2_every_cell", _nearest_sql("list_cosine_similarity(c, v)"))
+def every_cell(spark, sf_dir):
+    """With all cells probed the answer is exact."""
+    folder = scratch_path(spark, "cells")
+    centres = vectors.build_cells(_corpus(spark, sf_dir), folder, 8)
+    found = vectors.top_k_in_cells(_label_queries(spark, sf_dir), folder, centres, 10, probes=8)
+    return found.withColumn("score", rounded("score"))
+
+
 @query(
     "lab1_event_labels",
     """WITH w AS (SELECT event_id, event_type, value, count(value) OVER f AS n, avg(value) OVER f AS m, stddev_samp(value) OVER f AS s FROM events
