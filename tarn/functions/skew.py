@@ -72,6 +72,12 @@ def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> D
     )
 
 
+def _in_order(joined: DataFrame, facts: DataFrame, dim: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Columns of the facts as they were, then those the other side brings."""
+    brought = [] if how in ("left_semi", "left_anti") else [c for c in dim.columns if c not in on]
+    return joined.select(*facts.columns, *brought)
+
+
 def salted_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -103,7 +109,8 @@ def salted_join(
             )
         ),
     )
-    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    joined = left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how)
+    return _in_order(joined, facts, dim, on, how)
 
 
 def dimension_join(
@@ -124,5 +131,5 @@ def dimension_join(
     if derived:
         dim = stage(dim, "dim")
     if fits_broadcast(dim, max_rows):
-        return facts.join(F.broadcast(dim), list(on), how)
+        return _in_order(facts.join(F.broadcast(dim), list(on), how), facts, dim, list(on), how)
     return salted_join(facts, dim, on, how)

@@ -150,6 +150,7 @@ def test_salted_join_equals_plain_join(spark, series):
         got = salted_join(series, dim, ["k"], how, salts=7, share=0.5)
         want = series.join(dim, "k", how)
         assert rows(got.select(want.columns)) == rows(want)
+        assert got.columns[: len(series.columns)] == series.columns
 
 
 def test_dimension_join_beyond_the_bound(series, spark):
