@@ -52,7 +52,7 @@ def _radix_groups(rows: DataFrame, first: int, widen: int) -> DataFrame:
             break
         if start == 0:
             rest = F.substring(F.col("_bytes"), end + 1, 2**31 - 1)
-            active = active.join(rows.select("_row", rest.alias("_rest")), "_row")
+            active = active.hint("merge").join(rows.select("_row", rest.alias("_rest")), "_row")
         start, width = end, width * widen
         digits = active.withColumn("_digit", F.substring("_rest", 1, width)).withColumn(
             "_rest", F.substring("_rest", width + 1, 2**31 - 1)
@@ -73,7 +73,8 @@ def _split(rows: DataFrame) -> DataFrame:
         )
         .filter("_size > 1")
     )
-    return rows.join(shared, key).drop("_group").withColumnRenamed("_next", "_group")
+    # a sort-merge join at every size, so that small runs show the plan that large ones get
+    return rows.join(shared.hint("merge"), key).drop("_group").withColumnRenamed("_next", "_group")
 
 
 def _normalised(docs: DataFrame, id: str, text: str, *more) -> DataFrame:
@@ -113,4 +114,4 @@ def drop_exact_copies(
     """The rows of ``docs`` that stay, with all their columns; see ``exact_dedup``."""
     rows = _normalised(docs, id, text, whole_row(docs).alias("_doc"))
     copies = _radix_groups(rows.drop("_doc"), first, widen).filter("_best.row != _row").select("_row")
-    return columns_of(rows.join(copies, "_row", "left_anti"), "_doc", docs)
+    return columns_of(rows.join(copies.hint("merge"), "_row", "left_anti"), "_doc", docs)

@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarn.llm.common import read
 from tarn.llm.exact_dedup import exact_dedup
+from tarn.llm.jaccard import near_copies
+from tarn.llm.licenses import scan_licenses
 from tarn.llm.mixing import mix_sources, weights_in_order
+from tarn.llm.packing import pack_documents
 from tarn.llm.quality import quality_rules
 from tarn.llm.registry import ORACLES, QUERIES, query  # noqa: F401
+from tarn.llm.repeated_bytes import remove_repeats
+from tarn.llm.repeated_words import remove_repeated_words
+from tarn.llm.secret_scan import find_secrets
 from tarn.llm.url_filter import filter_urls
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # every third source counts three times, then once, then twice; the mix has 150 % of all words
 WEIGHTS, SHARE = (3.0, 1.0, 2.0), 1.5
 
@@ -20,16 +36,48 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
+@query("op4_word_window_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(read(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
 @query("op6_url_filter")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"))
 
 
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no path; source / language / id stands for one."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", "source", "lang", "doc_id").alias("path"))
+    return scan_licenses(docs, "doc_id", "path", "text")
+
+
 @query("op8_mix_sources")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents"), weights_in_order(WEIGHTS), SHARE)
 
 
+@query("op9_ngram_jaccard")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"))
+
+
 EXACT_DEDUP = r"""
     WITH normal AS (
         SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS normal FROM documents
