@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import SPACE, column, columns_of, text_of, whole_row
+from tarn.llm.common import SPACE, column, columns_of, small_join, text_of, whole_row
 from tarn.session import stage
 
 FIRST_DIGIT = 64
@@ -77,13 +77,15 @@ def _split(rows: DataFrame) -> DataFrame:
     return rows.join(shared.hint("merge"), key).drop("_group").withColumnRenamed("_next", "_group")
 
 
-def _normalised(docs: DataFrame, id: str, text: str, *more) -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
     """Rows with a number that later passes can rely on, written once."""
-    normal = F.regexp_replace(text_of(text), SPACE, " ")
-    rows = docs.select(column(id).alias("_id"), normal.cast("binary").alias("_bytes"), *more)
     return stage(rows.withColumn("_row", F.monotonically_increasing_id()), "texts")
 
 
+def _normal(text) -> Column:
+    return F.regexp_replace(text, SPACE, " ").cast("binary").alias("_bytes")
+
+
 def exact_dedup(
     docs: DataFrame, id: str = "doc_id", text: str = "text", first: int = FIRST_DIGIT, widen: int = WIDEN
 ) -> DataFrame:
@@ -94,7 +96,7 @@ def exact_dedup(
     and of repeated ids one row stays. Other columns of ``docs`` are not read. An
     empty table gives an empty result.
     """
-    rows = _normalised(docs, id, text)
+    rows = _numbered(docs.select(column(id).alias("_id"), _normal(text_of(text))))
     groups = _radix_groups(rows, first, widen)
     sha = F.sha2(F.col("_bytes"), 256)
     joined = rows.select("_row", "_id", sha.alias("text_sha256")).join(groups, "_row", "left")
@@ -112,6 +114,8 @@ def drop_exact_copies(
     docs: DataFrame, id: str = "doc_id", text: str = "text", first: int = FIRST_DIGIT, widen: int = WIDEN
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; see ``exact_dedup``."""
-    rows = _normalised(docs, id, text, whole_row(docs).alias("_doc"))
-    copies = _radix_groups(rows.drop("_doc"), first, widen).filter("_best.row != _row").select("_row")
-    return columns_of(rows.join(copies.hint("merge"), "_row", "left_anti"), "_doc", docs)
+    rows = _numbered(docs.select(whole_row(docs).alias("_doc")))
+    body = F.coalesce(F.col("_doc").getField(text), F.lit(""))
+    texts = rows.select("_row", F.col("_doc").getField(id).alias("_id"), _normal(body))
+    copies = _radix_groups(texts, first, widen).filter("_best.row != _row").select("_row")
+    return columns_of(small_join(rows, stage(copies, "copies"), ["_row"], "left_anti"), "_doc", docs)

@@ -38,7 +38,7 @@ from tarn.llm.chunks import (
     Stretches, bucket_count, bucket_edges, groups_of_equal, mixed, opened, packed, rows_of, spark_schema, split_words,
     total_bytes, unpacked, windows, write_chunks,
 )
-from tarn.llm.common import column, columns_of, whole_row
+from tarn.llm.common import columns_of, small_join, whole_row
 from tarn.llm.components import connected
 from tarn.session import stage
 
@@ -314,13 +314,14 @@ def drop_near_copies(
 
     A null id comes last, and of repeated ids one row stays.
     """
-    rows = docs.select(whole_row(docs).alias("_doc"), column(id).alias("_id"), column(text).alias("_text"))
+    rows = docs.select(whole_row(docs).alias("_doc"))
     rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    found = stage(near_copies(rows, "_row", "_text", words, percent).select("_row", "component_id"), "components")
+    texts = rows.select("_row", F.col("_doc").getField(text).alias("_text"))
+    found = stage(near_copies(texts, "_row", "_text", words, percent).select("_row", "component_id"), "components")
     shared = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("component_id")
-    members = found.join(shared, "component_id").join(rows.select("_row", "_id"), "_row")
-    members = stage(members, "members")
+    ids = rows.select("_row", F.col("_doc").getField(id).alias("_id"))
+    members = stage(found.join(shared, "component_id").join(ids, "_row"), "members")
     first = F.min(F.struct(F.isnull("_id").alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
     stays = members.groupBy("component_id").agg(first.alias("_first")).select(F.col("_first.row").alias("_row"))
     gone = members.select("_row").join(stays, "_row", "left_anti")
-    return columns_of(rows.join(gone.hint("merge"), "_row", "left_anti"), "_doc", docs)
+    return columns_of(small_join(rows, stage(gone, "gone"), ["_row"], "left_anti"), "_doc", docs)
