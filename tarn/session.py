@@ -51,6 +51,24 @@ def scratch_root(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+# what ``stage`` has written in this session and nobody has dropped
+_STAGED: list[str] = []
+
+
+def staged_paths() -> list[str]:
+    """Folders that ``stage`` has written so far, oldest first."""
+    return list(_STAGED)
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders. No frame that reads them may be evaluated afterwards."""
+    for path in paths:
+        if path in _STAGED:
+            _STAGED.remove(path)
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tarn/{label}-{uuid.uuid4().hex}"
 
@@ -64,6 +82,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
