@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +44,20 @@ def lineage_records(
 
 
 def upstream_chain(
-    edges: DataFrame, child: str, parent: str, max_depth: int = 50, staged_every: int = 4
+    edges: DataFrame, child: str, parent: str, staged_every: int = 4
 ) -> DataFrame:
     """Every upstream dataset of each dataset with its smallest distance.
 
     A breadth-first search over all datasets at once: each level is one
     equi-join of the newly found pairs with the edges, minus the pairs seen
-    before, so cycles end. Lineage is cut by writing the levels.
+    before, so cycles end, and the search ends with the first empty level. Lineage is
+    cut by writing the levels.
     """
     edges = stage(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).dropna().distinct(), "edges")
     level = edges.select(F.col("c").alias("dataset"), F.col("p").alias("upstream"))
     level = stage(level.withColumn("depth", F.lit(1)), "chain")
     seen = level
-    for depth in range(2, max_depth + 1):
+    for depth in count(2):
         step = edges.select(F.col("c").alias("upstream"), F.col("p").alias("_next"))
         found = (
             level.select("dataset", "upstream")

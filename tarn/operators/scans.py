@@ -7,6 +7,7 @@ in parallel, and connect them through a summary with one row per segment.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -284,11 +285,18 @@ def _rows_within() -> Column:
 
 
 def _narrowed(counted: DataFrame, ranges: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    # the lowest and the highest value never share a bin, so every pass shortens a range
-    place = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(bins)
+    # the lowest and the highest value never share a bin, so every pass shortens a range;
+    # infinities and NaN have bins of their own, and halves keep the widest range finite
+    largest, v = F.lit(sys.float_info.max), F.col("_v")
+    low, high = F.greatest("_low", -largest) / 2, F.least("_high", largest) / 2
+    infinite = F.lit(float("inf"))
+    place = (
+        F.when(F.isnan(v), bins + 2).when(v == infinite, bins + 1).when(v == -infinite, -1)
+        .otherwise(F.floor((v / 2 - low) / (high - low) * F.lit(bins)))
+    )
     cut = (
         _in_ranges(counted, ranges, keys)
-        .groupBy(*keys, "_all", "_rows", "_low", "_before", F.floor(place).cast("long").alias("_bin"))
+        .groupBy(*keys, "_all", "_rows", "_low", "_before", place.cast("long").alias("_bin"))
         .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_lowest"), F.max("_v").alias("_high"))
     )
     kept = _numbered(cut, keys, "_bin").withColumn("_rows", _rows_within()).filter(F.size("_rows") > 0)

@@ -50,13 +50,12 @@ def _tagged(text: Column, name: str, pattern: str, allow: Sequence[str]) -> Colu
     tag = f"<{name}>"
     if not allow:
         return F.regexp_replace(text, F.lit(pattern), F.lit(tag))
-    # allowed terms match first and keep their text before the marked tag,
-    # which then goes wherever it follows one
-    terms = "|".join("\\Q" + a + "\\E" for a in sorted(allow, key=len, reverse=True))
-    marked = f"\u0001{tag}\u0002"
-    out = F.regexp_replace(text, F.lit(f"({terms})|(?:{pattern})"), F.lit(f"$1{marked}"))
-    out = F.regexp_replace(out, F.lit(f"({terms}){marked}"), F.lit("$1"))
-    return F.translate(out, "\u0001\u0002", "")
+    # what stands between the matches, each followed by its match or the tag; only a
+    # whole match can be allowed
+    between = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    shown = F.transform(matches, lambda m: F.when(m.isin(*allow), m).otherwise(F.lit(tag)))
+    return F.array_join(F.zip_with(between, shown, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
 
 
 def anonymise(text: Column, allow: Sequence[str] = ()) -> Column:

@@ -16,7 +16,6 @@ from tarn.functions.skew import salted_join
 from tarn.sources.schemas import LINEAGE, TableSchema, apply_schema
 from tarn.sources.sinks import append_table, with_lineage, write_rejected
 
-PAYLOAD_CHARS = 500
 REASON = "rejection_reason"
 
 
@@ -75,11 +74,11 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def clipped_payload(df: DataFrame, chars: int = PAYLOAD_CHARS) -> DataFrame:
-    """Rejects as reason and record text, the text cut at ``chars`` characters."""
+def rejected_payload(df: DataFrame) -> DataFrame:
+    """Rejects as reason and the text of the whole record, which can be read again."""
     rest = [c for c in df.columns if c != REASON]
     text = F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})
-    return df.select(REASON, F.substring(text, 1, chars).alias("payload"))
+    return df.select(REASON, text.alias("payload"))
 
 
 def summary(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:

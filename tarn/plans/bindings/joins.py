@@ -337,7 +337,7 @@ CHAIN_SQL = """WITH RECURSIVE edges AS (SELECT DISTINCT conv_id || '/' || turn A
         FROM conversations WHERE turn > 0
         UNION SELECT conv_id || '/0', role FROM conversations WHERE turn = 0),
     chain(dataset, upstream, depth) AS (SELECT c, p, 1 FROM edges
-        UNION SELECT dataset, p, depth + 1 FROM chain JOIN edges ON upstream = c WHERE depth < 50)
+        UNION SELECT dataset, p, depth + 1 FROM chain JOIN edges ON upstream = c)
 """
 
 

@@ -40,14 +40,14 @@ def valid_rows(spark, sf_dir):
 @query(
     "val2_rejected_rows",
     """SELECT CASE WHEN event_type = 'error' THEN 'value:event_type' ELSE 'above:value' END AS rejection_reason,
-        event_id, least(500, 40 + length(CAST(event_id AS VARCHAR)) + length(event_type)
+        event_id, (40 + length(CAST(event_id AS VARCHAR)) + length(event_type)
             + length(CAST(user_id AS VARCHAR))) AS payload_chars
     FROM events WHERE event_type = 'error' OR value > 50""",
 )
 def rejected_rows(spark, sf_dir):
     columns = events(spark, sf_dir).select("event_id", "event_type", "user_id", "value")
     _, bad = validate.split(columns, event_rules())
-    clipped = validate.clipped_payload(bad.drop("value"))
+    clipped = validate.rejected_payload(bad.drop("value"))
     return clipped.select(
         "rejection_reason",
         F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"),

@@ -29,9 +29,7 @@ def read_source(spark: SparkSession, kind: str, options: Mapping) -> DataFrame:
 
 
 def _filesystem(spark: SparkSession, o: Mapping) -> DataFrame:
-    return files.read_directory(
-        spark, o["path"], o.get("file_glob", "*.parquet"), max_files=o.get("max_files")
-    )
+    return files.read_directory(spark, o["path"], o.get("file_glob", "*.parquet"))
 
 
 def _object_store(spark: SparkSession, o: Mapping) -> DataFrame:

@@ -39,5 +39,4 @@ def table_options(config: Mapping) -> dict[str, str]:
 def read_database(spark: SparkSession, config: Mapping) -> DataFrame:
     """``SELECT * FROM schema.table``, lazy: filters and columns reach the database."""
     reader = spark.read.format("jdbc").options(**table_options(config))
-    df = reader.load()
-    return df.limit(config["limit"]) if config.get("limit") else df
+    return reader.load()

@@ -42,7 +42,7 @@ def _read(spark: SparkSession, fmt: str, paths, glob: str | None, merge_schema:
     if glob:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "true")
+        reader = reader.option("header", "true").option("inferSchema", "true").option("enforceSchema", "false")
     else:
         reader = reader.option("mergeSchema", str(merge_schema).lower())
     return reader.load(paths)
@@ -62,30 +62,23 @@ def read_directory(
     spark: SparkSession,
     path: str,
     glob: str = "*.parquet",
-    max_files: int | None = None,
     merge_schema: bool = True,
     with_path: bool = False,
 ) -> DataFrame:
     """Every Parquet and CSV file below ``path`` that matches ``glob``, as one table.
 
-    Other suffixes are skipped. Columns are the union over all files. With
-    ``max_files`` only the first files in path order are read. A folder that
-    does not exist, or holds no such file, gives no rows and no columns.
+    Other suffixes are skipped. Columns are the union over all files, matched by
+    name; CSV files whose header differs from that of the others are an error, as one
+    header would else name the columns of all. A folder that does not exist, or holds no such file, gives no rows and no columns.
     """
     suffix = glob.rsplit(".", 1)[-1].lower()
     frames = []
     listing = None
-    if max_files is not None or suffix not in FORMATS:
+    if suffix not in FORMATS:
         listing = _if_any(list_files, spark, path, glob)
         if listing is None:
             return _union([], spark)
-    if max_files is not None:
-        first = listing.orderBy("path").limit(max_files).collect()
-        for name, fmt in FORMATS.items():
-            paths = [r["path"] for r in first if r["suffix"] == name]
-            if paths:
-                frames.append(_read(spark, fmt, paths, None, merge_schema))
-    elif suffix in FORMATS:
+    if suffix in FORMATS:
         frames.append(_if_any(_read, spark, FORMATS[suffix], path, glob, merge_schema))
     else:
         present = {r["suffix"] for r in listing.select("suffix").distinct().collect()}

@@ -104,10 +104,12 @@ def day_column(schema: TableSchema) -> Column:
     return F.to_date(F.col(schema.partition_field)).alias(PARTITION_COLUMN)
 
 
-def apply_schema(df: DataFrame, schema: TableSchema, failures: str | None = None) -> DataFrame:
+def apply_schema(
+    df: DataFrame, schema: TableSchema, failures: str | None = None, strict: bool = False
+) -> DataFrame:
     """Cast to the declared columns, fill absent ones with null, add the day column.
 
-    A value that cannot be cast becomes null; with ``failures`` the names of
+    A value that cannot be cast becomes null, or an error if ``strict``; with ``failures`` the names of
     the columns that failed are kept in an array column of that name.
     """
     present = set(df.columns)
@@ -117,8 +119,13 @@ def apply_schema(df: DataFrame, schema: TableSchema, failures: str | None = None
             casted.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         value = F.col(f"`{f.name}`").try_cast(f.dataType)
-        casted.append(value.alias(f.name))
-        failed.append(F.when(value.isNull() & F.col(f"`{f.name}`").isNotNull(), F.lit(f.name)))
+        broken = value.isNull() & F.col(f"`{f.name}`").isNotNull()
+        if strict:
+            told = F.raise_error(F.lit(f"a value of {f.name} is no {f.dataType.simpleString()}"))
+            casted.append(F.when(broken, told.cast(f.dataType)).otherwise(value).alias(f.name))
+        else:
+            casted.append(value.alias(f.name))
+        failed.append(F.when(broken, F.lit(f.name)))
     if failures is not None:
         casted.append(F.array_compact(F.array(*failed)).alias(failures))
     out = df.select(*casted)

@@ -30,7 +30,8 @@ def _rebalanced(df: DataFrame, partition: str | None) -> DataFrame:
 def append_table(df: DataFrame, namespace: str, table: str, schema: TableSchema) -> None:
     """Append to a table, creating database and table on first use; never rewrites.
 
-    Columns the schema does not declare are an error, absent ones become null.
+    Columns the schema does not declare are an error, absent ones become null. A value
+    that is not of its declared type is an error, and the table stays as it was.
     """
     spark = df.sparkSession
     unknown = set(df.columns) - set(schema.names) - {PARTITION_COLUMN}
@@ -38,7 +39,7 @@ def append_table(df: DataFrame, namespace: str, table: str, schema: TableSchema)
         raise ValueError(f"columns {sorted(unknown)} are not declared for {namespace}.{table}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
     partition = PARTITION_COLUMN if schema.partition_field else None
-    writer = _rebalanced(apply_schema(df, schema), partition).write.mode("append").format("parquet")
+    writer = _rebalanced(apply_schema(df, schema, strict=True), partition).write.mode("append").format("parquet")
     if partition:
         writer = writer.partitionBy(partition)
     writer.saveAsTable(f"{namespace}.{table}")
