@@ -27,25 +27,30 @@ class Rule:
     broken: Column
 
 
+def _named(column: str) -> Column:
+    """The column of this name, dots included."""
+    return F.col(f"`{column}`")
+
+
 def required(column: str) -> Rule:
-    return Rule(f"missing:{column}", F.col(column).isNull())
+    return Rule(f"missing:{column}", _named(column).isNull())
 
 
 def castable(column: str, data_type: str) -> Rule:
-    value = F.col(column)
+    value = _named(column)
     return Rule(f"type:{column}", value.isNotNull() & value.try_cast(data_type).isNull())
 
 
 def non_negative(column: str) -> Rule:
-    return Rule(f"negative:{column}", F.col(column).try_cast("double") < 0)
+    return Rule(f"negative:{column}", _named(column).try_cast("double") < 0)
 
 
 def at_most(column: str, bound: float) -> Rule:
-    return Rule(f"above:{column}", F.col(column).try_cast("double") > bound)
+    return Rule(f"above:{column}", _named(column).try_cast("double") > bound)
 
 
 def one_of(column: str, values: Sequence[str]) -> Rule:
-    return Rule(f"value:{column}", ~F.col(column).isin(*values))
+    return Rule(f"value:{column}", ~_named(column).isin(*values))
 
 
 def project(df: DataFrame, declared: T.StructType) -> DataFrame:
@@ -77,7 +82,7 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
 def rejected_payload(df: DataFrame) -> DataFrame:
     """Rejects as reason and the text of the whole record, which can be read again."""
     rest = [c for c in df.columns if c != REASON]
-    text = F.to_json(F.struct(*rest), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct(*[_named(c) for c in rest]), {"ignoreNullFields": "false"})
     return df.select(REASON, text.alias("payload"))
 
 
@@ -134,7 +139,7 @@ def skip_ingested(raw: DataFrame, table: DataFrame, key: Sequence[str]) -> DataF
 
 def fingerprint(columns: Sequence[str]) -> Column:
     """SHA-256 of the record's JSON text, columns in name order."""
-    text = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct(*[_named(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
     return F.sha2(text, 256)
 
 

@@ -25,6 +25,8 @@ from tarn.session import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 QUERIES_PER_ROUND = 10_000
+SCORES_AT_ONCE = 2_000_000  # a task's array of queries x rows
+FOUND = "query_id long, vec_id long, score double"
 METRICS = ("cosine", "inner_product", "l2")
 
 
@@ -87,11 +89,15 @@ def _local_best(names, matrix, cells, k, metric):
             parts = [(None, batch)] if cells is None else batch.groupby("cell")
             for cell, rows in parts:
                 asked = everyone if cells is None else cells.get(int(cell), everyone[:0])
-                if len(asked):
-                    block = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-                    scores = _scores(matrix[asked], block, metric)
+                if not len(asked):
+                    continue
+                vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
+                ids = rows["vec_id"].to_numpy()
+                step = max(1, SCORES_AT_ONCE // len(asked))
+                for at in range(0, len(ids), step):
+                    scores = _scores(matrix[asked], vectors[at : at + step], metric)
                     scores = np.where(np.isnan(scores), -np.inf, scores)
-                    best.add(asked, rows["vec_id"].to_numpy(), scores)
+                    best.add(asked, ids[at : at + step], scores)
         yield best.rows(names)
 
     return run
@@ -102,7 +108,8 @@ def _rounds(queries: DataFrame, per_round: int) -> list[DataFrame]:
     if fits_broadcast(queries, per_round):
         return [queries]
     parts = 2 * (queries.count() // per_round + 1)
-    bucket = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    # an id may come with several vectors; equal rows were dropped, so every part gets smaller
+    bucket = F.pmod(F.xxhash64("query_id", "vector", F.lit(parts)), F.lit(parts))
     split = [queries.filter(bucket == i) for i in range(parts)]
     return [r for part in split for r in _rounds(part, per_round)]
 
@@ -117,16 +124,20 @@ def top_k(
     """The k nearest corpus rows of every query, exact.
 
     ``queries`` is (query_id long, vector), ``corpus`` (vec_id long, vector).
-    ``score`` is the cosine, the inner product or the negative distance.
+    ``score`` is the cosine, the inner product or the negative distance. Rows without
+    a vector find nothing and are not found; a repeated query counts once; no queries
+    give no rows.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, known: {METRICS}")
-    return _search(stage(queries, "queries"), corpus, None, k, metric, per_round)
+    return _search(queries, corpus, None, k, metric, per_round)
 
 
 def _search(queries, corpus, probes, k, metric, per_round):
-    found = []
-    for part in _rounds(queries, per_round):
+    queries = stage(queries.select("query_id", "vector").filter("vector is not null").dropDuplicates(), "queries")
+    corpus = corpus.filter("vector is not null")
+    found, rounds = [], _rounds(queries, per_round)
+    for part in rounds:
         local = part.toPandas()
         if local.empty:
             continue
@@ -134,18 +145,23 @@ def _search(queries, corpus, probes, k, metric, per_round):
         matrix = np.stack(local["vector"].to_numpy()).astype(np.float64)
         cells = probes(matrix) if probes else None
         rows = corpus if cells is None else corpus.filter(F.col("cell").isin(sorted(cells)))
-        found.append(
-            rows.mapInPandas(
-                _local_best(names, matrix, cells, k, metric),
-                "query_id long, vec_id long, score double",
-            )
-        )
+        near = _ranked(rows.mapInPandas(_local_best(names, matrix, cells, k, metric), FOUND), k)
+        if len(rounds) == 1:
+            return near
+        # run each round now, so that the driver holds the queries of one at a time
+        found.append(stage(near.drop("rank"), "found"))
+    if not found:
+        return _ranked(queries.sparkSession.createDataFrame([], FOUND), k)
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    # the rank filter also runs before the shuffle: k rows per query and task
+    return _ranked(out, k)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k best per query. The filter also runs before the shuffle: k rows per query and task."""
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
@@ -201,4 +217,4 @@ def top_k_in_cells(
             int(c): np.flatnonzero((picked == c).any(axis=1)) for c in np.unique(picked)
         }
 
-    return _search(stage(queries, "queries"), corpus, nearest, k, metric, per_round)
+    return _search(queries, corpus, nearest, k, metric, per_round)

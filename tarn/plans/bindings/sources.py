@@ -50,6 +50,38 @@ def prefix_scan(spark, sf_dir):
     )
 
 
+@query(
+    "src1_csv_columns_by_name",
+    """SELECT n_nationkey AS key, n_name AS name FROM nation
+    UNION ALL SELECT s_suppkey, s_name FROM supplier""",
+)
+def csv_columns_by_name(spark, sf_dir):
+    """CSV files of one folder whose headers name the same columns in another order."""
+    folder = scratch_path(spark, "headers")
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"))
+    nation.write.csv(f"{folder}/a", header=True)
+    supplier.write.csv(f"{folder}/b", header=True)
+    df = files.read_directory(spark, folder, "*.csv")
+    return df.select(F.col("key").cast("long").alias("key"), "name")
+
+
+@query(
+    "src2_mixed_suffixes",
+    """SELECT n_nationkey AS key, n_name AS name FROM nation
+    UNION ALL SELECT s_suppkey, s_name FROM supplier""",
+)
+def mixed_suffixes(spark, sf_dir):
+    """Objects of one prefix, in CSV and in Parquet, under the default glob; another prefix is not read."""
+    folder = scratch_path(spark, "objects")
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    nation.write.csv(f"{folder}/names-nation", header=True)
+    supplier.write.parquet(f"{folder}/names-supplier")
+    nation.write.parquet(f"{folder}/other")
+    return files.read_prefix(spark, folder, "names").select(F.col("key").cast("long").alias("key"), "name")
+
+
 PAGE = 50
 
 

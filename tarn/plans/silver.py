@@ -53,7 +53,8 @@ def cloud_gpu_pricing(
     """Latest price per instance and region in euro, with the accelerator behind it.
 
     ``accelerators`` is (pattern, accelerator). Without any rate the price is
-    kept 1:1; with rates, a day before the first one gives null.
+    kept 1:1; with rates, a day before the first one gives null. Of several rates of
+    a day the one ingested last counts, then the smallest.
     """
     latest = latest_per_key(
         prices, ["provider", "instance_type", "region"], "captured_at", ["sku_name", "price_usd_per_hour"]
@@ -64,7 +65,9 @@ def cloud_gpu_pricing(
         rated = latest.withColumn("eur_usd", F.lit(1.0))
     else:
         until = latest.agg(F.max("valid_from").alias("d")).first()["d"]
-        calendar = rate_calendar(fx_rates, [], "observation_date", "eur_usd", until)
+        newest = [F.col("_ingestion_timestamp").desc()] if "_ingestion_timestamp" in fx_rates.columns else []
+        daily = deduplicate(fx_rates, ["observation_date"], [F.col("eur_usd").isNull(), *newest, F.col("eur_usd")])
+        calendar = rate_calendar(daily, [], "observation_date", "eur_usd", until)
         rated = join_rate(
             latest, calendar, [], F.col("valid_from"), "observation_date", "eur_usd", "eur_usd"
         )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import fnmatch
+import re
+from urllib.parse import unquote
 
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +39,23 @@ def _if_any(read, *args):
         raise
 
 
+def _listed(spark: SparkSession, path: str, glob: str = "*") -> dict[str, list[str]]:
+    """Paths by lower-case suffix. Names only come to the driver, which lists them for any read."""
+    listing = _if_any(list_files, spark, path, glob)
+    found: dict[str, list[str]] = {}
+    for r in [] if listing is None else listing.collect():
+        found.setdefault(r["suffix"], []).append(r["path"])
+    return found
+
+
+def _literal(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _read(spark: SparkSession, fmt: str, paths, glob: str | None, merge_schema: bool) -> DataFrame:
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
     if glob:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        reader = reader.option("pathGlobFilter", glob)
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "true").option("enforceSchema", "false")
     else:
@@ -48,13 +63,50 @@ def _read(spark: SparkSession, fmt: str, paths, glob: str | None, merge_schema:
     return reader.load(paths)
 
 
-def _union(frames: list[DataFrame | None], spark: SparkSession) -> DataFrame:
-    frames = [f for f in frames if f is not None]
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """CSV files grouped by their first line with text; files without one have no rows and are left out."""
+
+    def first_lines(batches):
+        seen = set()
+        for batch in batches:
+            names = batch.column("path")
+            for name in pc.unique(names).to_pylist():
+                if name not in seen:
+                    seen.add(name)
+                    yield batch.slice(pc.index(names, name).as_py(), 1)
+
+    # a file's first split lies in one task, in the order of its lines
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text([_literal(p) for p in paths])
+        .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+    )
+    groups: dict[str, list[str]] = {}
+    for r in lines.mapInArrow(first_lines, "path string, value string").collect():
+        groups.setdefault(r["value"], []).append(unquote(r["path"]))
+    return [sorted(groups[header]) for header in sorted(groups)]
+
+
+def _read_listed(spark: SparkSession, paths: dict[str, list[str]], merge_schema: bool) -> list[DataFrame]:
+    """``paths`` by format; one read per format, and for CSV one per header."""
+    frames = []
+    for fmt in FORMATS.values():
+        held = paths.get(fmt, [])
+        groups = _by_header(spark, held) if held and fmt == "csv" else [held]
+        frames += [_read(spark, fmt, [_literal(p) for p in same], None, merge_schema) for same in groups if same]
+    return frames
+
+
+def _union(frames: list[DataFrame], spark: SparkSession) -> DataFrame:
+    """Rows of all frames by column name; a column that is text in one of them is text in all."""
     if not frames:
         return spark.createDataFrame([], T.StructType())
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
+    texts = {f.name for frame in frames for f in frame.schema if isinstance(f.dataType, T.StringType)}
+    out = None
+    for frame in frames:
+        frame = frame.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in texts else F.col(f"`{c}`") for c in frame.columns])
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
     return out
 
 
@@ -67,58 +119,34 @@ def read_directory(
 ) -> DataFrame:
     """Every Parquet and CSV file below ``path`` that matches ``glob``, as one table.
 
-    Other suffixes are skipped. Columns are the union over all files, matched by
-    name; CSV files whose header differs from that of the others are an error, as one
-    header would else name the columns of all. A folder that does not exist, or holds no such file, gives no rows and no columns.
+    Other suffixes are skipped. Columns are the union over all files, matched by name,
+    also between CSV files with different headers; a header is one line. A folder that
+    does not exist, or holds no such file, gives no rows and no columns.
     """
-    suffix = glob.rsplit(".", 1)[-1].lower()
-    frames = []
-    listing = None
-    if suffix not in FORMATS:
-        listing = _if_any(list_files, spark, path, glob)
-        if listing is None:
-            return _union([], spark)
-    if suffix in FORMATS:
-        frames.append(_if_any(_read, spark, FORMATS[suffix], path, glob, merge_schema))
+    if glob.endswith(".parquet"):
+        frame = _if_any(_read, spark, "parquet", path, glob, merge_schema)
+        frames = [] if frame is None else [frame]
     else:
-        present = {r["suffix"] for r in listing.select("suffix").distinct().collect()}
-        for name, fmt in FORMATS.items():
-            if name in present:
-                frame = _read(spark, fmt, path, f"*.{name}", merge_schema)
-                if glob not in ("*", f"*.{name}"):
-                    # the metadata predicate prunes whole files, nothing is read to apply it
-                    frame = frame.filter(F.col("_metadata.file_name").rlike("^" + fnmatch.translate(glob)))
-                frames.append(frame)
+        listed = _listed(spark, path, glob)
+        frames = _read_listed(spark, {fmt: listed.get(suffix, []) for suffix, fmt in FORMATS.items()}, merge_schema)
     if with_path:
-        frames = [f and f.withColumn("_file", F.col("_metadata.file_path")) for f in frames]
+        frames = [f.withColumn("_file", F.col("_metadata.file_path")) for f in frames]
     return _union(frames, spark)
 
 
 def prefix_format(key_suffix: str, glob: str) -> str:
     """Format of an object: from its key, else from the glob, else Parquet."""
-    for name in FORMATS:
-        if key_suffix == name or glob.endswith(f".{name}"):
-            return FORMATS[name]
-    return "parquet"
+    return FORMATS.get(key_suffix) or FORMATS.get(glob.rpartition(".")[2].lower(), "parquet")
 
 
 def read_prefix(
     spark: SparkSession, root: str, prefix: str, glob: str = "*.parquet", merge_schema: bool = True
 ) -> DataFrame:
-    """Every object under ``root`` whose key starts with ``prefix`` (``s3a://bucket`` or a folder)."""
-    base = f"{root.rstrip('/')}/{prefix.lstrip('/')}*"
-    listing = _if_any(list_files, spark, base)
-    if listing is None:
-        return _union([], spark)
-    formats: dict[str, list[str]] = {}
-    for r in listing.select("suffix").distinct().collect():
-        formats.setdefault(prefix_format(r["suffix"], glob), []).append(r["suffix"])
-    frames = []
-    for fmt, suffixes in sorted(formats.items()):
-        for suffix in sorted(suffixes):
-            pattern = f"*.{suffix}" if suffix else "*"
-            frames.append(_read(spark, fmt, base, pattern, merge_schema))
-    return _union(frames, spark)
+    """Every object under ``root`` whose key starts with ``prefix`` (``s3a://bucket`` or a folder), each read once."""
+    paths: dict[str, list[str]] = {}
+    for suffix, held in _listed(spark, f"{root.rstrip('/')}/{prefix.lstrip('/')}*").items():
+        paths.setdefault(prefix_format(suffix, glob), []).extend(held)
+    return _union(_read_listed(spark, paths, merge_schema), spark)
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:

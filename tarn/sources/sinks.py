@@ -112,10 +112,16 @@ def write_rejected(
     return found["n"]
 
 
+def _matched(target: DataFrame, source: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Rows of ``target`` with (or, as an anti join, without) a key of ``source``; null equals null."""
+    keys = source.select(*[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(key)])
+    equal = [F.col(f"_target.`{k}`").eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(key)]
+    return target.alias("_target").join(keys, equal, how)
+
+
 def upserted(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``source`` put in place of, or added to, those of equal key."""
-    key = list(key)
-    kept = target.join(source.select(*key), key, "left_anti")
+    """``target`` with the rows of ``source`` put in place of, or added to, those of equal key; null equals null."""
+    kept = _matched(target, source, key, "left_anti")
     return kept.select(target.columns).unionByName(source.select(target.columns))
 
 
@@ -128,9 +134,10 @@ def upsert_table(
 ) -> None:
     """Keyed merge into a table: matched rows are replaced, the rest inserted.
 
-    A key occurring twice in ``source`` is an error. If the table is
-    partitioned by a column that follows from the key, only the partitions the
-    source touches are read and rewritten.
+    A key occurring twice in ``source`` is an error. Of a partitioned table only
+    the partitions are rewritten that the source has or that hold one of its keys,
+    which are found from the key columns alone. If a partition would be left without
+    rows, the whole table is written anew.
     """
     spark, name, key = source.sparkSession, f"{namespace}.{table}", list(key)
     if not spark.catalog.tableExists(name):
@@ -141,9 +148,19 @@ def upsert_table(
     if not partition_by:
         overwrite_table(upserted(target, source, key), namespace, table)
         return
-    touched = source.select(partition_by).distinct()
-    merged = upserted(target.join(touched, partition_by, "left_semi").select(target.columns), source, key)
-    replacement = _rebalanced(stage(merged, "upsert").select(target.columns), partition_by)
+    touched = source.select(partition_by)
+    if partition_by not in key:
+        touched = touched.union(_matched(target, source, key, "left_semi").select(partition_by))
+    touched = stage(touched.distinct(), "touched")
+    # a plain equality, so that Spark prunes the other partitions
+    held = target.join(touched, partition_by, "left_semi").select(target.columns)
+    if not touched.filter(F.col(partition_by).isNull()).isEmpty():
+        held = held.unionByName(target.filter(F.col(partition_by).isNull()))
+    merged = stage(upserted(held, source, key), "upsert").select(target.columns)
+    if not _matched(touched, merged.select(partition_by).distinct(), [partition_by], "left_anti").isEmpty():
+        overwrite_table(upserted(target, source, key), namespace, table, [partition_by])
+        return
+    replacement = _rebalanced(merged, partition_by)
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     spark.conf.set(mode, "dynamic")

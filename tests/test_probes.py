@@ -4,12 +4,15 @@ import math
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tarn.operators import lineage, text, validate
+from tarn.operators import lineage, text, validate, vectors
 from tarn.operators.scans import exact_quantiles
+from tarn.plans import silver
+from tarn.session import scratch_database
 from tarn.sources import files
 from tarn.sources.schemas import TableSchema, columns
-from tarn.sources.sinks import append_table
+from tarn.sources.sinks import append_table, upsert_table
 
 
 def test_quantiles_end_on_infinities(spark):
@@ -41,12 +44,68 @@ def test_rejects_are_whole(spark):
     assert "x" * 2000 in validate.rejected_payload(bad).first()["payload"]
 
 
-def test_different_csv_headers_are_an_error(spark, folder):
-    for name, content in (("a", "id,name\n1,Alice\n"), ("b", "name,id\nBob,2\n")):
+def test_csv_columns_go_by_name(spark, folder):
+    for name, content in (("a", "id,name\n1,Alice\n"), ("b [1]", "name,id\nBob,2\n"), ("c", ""), ("d", "id,name\nx,7\n")):
         with open(f"{folder}/{name}.csv", "w") as file:
             file.write(content)
-    with pytest.raises(Exception, match="(?i)header"):
-        files.read_directory(spark, folder, "*.csv").collect()
+    assert rows(files.read_directory(spark, folder, "[ab]*"), "id", "name") == [(1, "Alice"), (2, "Bob")]
+    everything = files.read_directory(spark, folder, "*.csv")
+    assert rows(everything, "id", "name") == [("1", "Alice"), ("2", "Bob"), ("x", "7")]
+
+
+def test_each_object_is_read_once(spark, folder):
+    for name in ("x-1", "x-2.CSV", "x-3.csv"):
+        with open(f"{folder}/{name}", "w") as file:
+            file.write(f"id\n{name[2]}\n")
+    assert rows(files.read_prefix(spark, folder, "x", "*.csv"), "id") == [(1,), (2,), (3,)]
+    # the key's suffix counts before the glob, which is for Parquet here
+    assert rows(files.read_prefix(spark, folder, "x-3"), "id") == [(3,)]
+
+
+def test_upsert_of_moved_and_null_keys(spark):
+    db = scratch_database(spark, "moved")
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (None, "n", 3)], "k int, v string, p int")
+    upsert_table(old, db, "t", ["k"], "p")
+    upsert_table(spark.createDataFrame([(1, "A", 2), (None, "N", 3)], "k int, v string, p int"), db, "t", ["k"], "p")
+    assert rows(spark.table(f"{db}.t"), "k", "v", "p") == sorted([(1, "A", 2), (2, "b", 1), (None, "N", 3)], key=repr)
+    # partition 1 is left without rows
+    upsert_table(spark.createDataFrame([(2, "B", 2), (5, "e", None)], "k int, v string, p int"), db, "t", ["k"], "p")
+    upsert_table(spark.createDataFrame([(5, "E", None)], "k int, v string, p int"), db, "t", ["k"], "p")
+    want = [(1, "A", 2), (2, "B", 2), (None, "N", 3), (5, "E", None)]
+    assert rows(spark.table(f"{db}.t"), "k", "v", "p") == sorted(want, key=repr)
+
+
+def test_two_rates_of_a_day_give_one_price(spark):
+    prices = spark.createDataFrame(
+        [("aws", "p5", "eu", "sku", 2.2, "2024-05-01 10:00:00")],
+        "provider string, instance_type string, region string, sku_name string, price_usd_per_hour double, captured_at string",
+    ).withColumn("captured_at", F.to_timestamp("captured_at"))
+    rates = spark.createDataFrame(
+        [("2024-05-01", 1.2, "2024-05-02"), ("2024-05-01", 1.1, "2024-05-03")], "d string, eur_usd double, t string"
+    ).select(F.to_date("d").alias("observation_date"), "eur_usd", F.to_timestamp("t").alias("_ingestion_timestamp"))
+    named = spark.createDataFrame([("p5", "H100")], "pattern string, accelerator string")
+    out = silver.cloud_gpu_pricing(prices, rates, named).collect()
+    assert [round(r["price_eur_per_hour"], 6) for r in out] == [2.0]
+
+
+def test_vectors_that_are_missing(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "vec_id long, vector array<double>")
+    asked = spark.createDataFrame(
+        [(7, [1.0, 0.1]), (7, [1.0, 0.1]), (8, None)] + [(9, [float(i), 1.0]) for i in range(8)], "query_id long, vector array<double>"
+    )
+    assert rows(vectors.top_k(asked.filter("query_id < 9"), corpus, 3), "query_id", "vec_id", "rank") == [(7, 1, 1), (7, 3, 2)]
+    assert vectors.top_k(asked.filter("query_id = 8"), corpus, 3).isEmpty()
+    assert vectors.top_k(asked.limit(0), corpus, 3).isEmpty()
+    # one id with more vectors than a round takes
+    best = vectors.top_k(asked.filter("query_id = 9"), corpus, 1, per_round=3)
+    assert rows(best, "query_id", "vec_id", "score") == [(9, 3, 1.0)]
+
+
+def test_rules_on_names_with_dots(spark):
+    raw = spark.createDataFrame([("1", None), ("x", "b")], "`a.b` string, `c.d` string")
+    tagged = validate.tag(raw, [validate.castable("a.b", "long"), validate.required("c.d")])
+    assert rows(tagged, validate.REASON) == [("missing:c.d",), ("type:a.b",)]
+    assert '"a.b":"x"' in validate.rejected_payload(tagged.filter("rejection_reason like 'type%'")).first()["payload"]
 
 
 def test_deep_lineage(spark):
