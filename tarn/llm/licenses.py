@@ -83,25 +83,44 @@ def _cosines(terms: Column, idf: dict[str, float], rarest: float, templates) ->
     def weight(term: Column) -> Column:
         return F.coalesce(F.try_element_at(weights, term), F.lit(rarest))
 
-    def squares(term: Column) -> Column:
-        times = F.size(F.filter(terms, lambda t: t == term))
-        return F.pow(times * weight(term), F.lit(2.0))
+    def squares(ordered: Column) -> Column:
+        """Per distinct term, from where its run begins in the sorted terms to where the next one does."""
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        begins = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i - 1) != F.get(ordered, i)))
 
-    def product(along: Column) -> Column:
-        return F.aggregate(terms, zero, lambda total, t: total + F.coalesce(F.try_element_at(along, t), zero))
+        def runs(starts: Column) -> Column:
+            def square(at: Column, k: Column) -> Column:
+                times = F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at
+                return F.pow(times * weight(F.get(ordered, at)), F.lit(2.0))
+
+            return F.transform(starts, square)
+
+        return let(begins, runs)
 
     zero = F.lit(0.0)
-    norm = F.sqrt(F.aggregate(F.transform(F.array_distinct(terms), squares), zero, lambda total, x: total + x))
-    scores = []
+    norm = F.sqrt(F.aggregate(let(F.sort_array(terms), squares), zero, lambda total, x: total + x))
+    # the other terms add nothing to a product
+    known = F.filter(terms, lambda t: F.try_element_at(weights, t).isNotNull())
+
+    def product(held: Column, along: Column) -> Column:
+        return F.aggregate(held, zero, lambda total, t: total + F.coalesce(F.try_element_at(along, t), zero))
+
+    vectors = []
     for name, text in templates:
         vector: dict[str, float] = {}
         for t in _terms_of(text):
             vector[t] = vector.get(t, 0.0) + idf[t]
         size = math.sqrt(sum(v * v for v in vector.values()))
         along = F.create_map(*[F.lit(x) for t, v in sorted(vector.items()) for x in (t, v * idf[t] / size)])
-        scores.append(F.struct(F.round(product(along) / norm, 6).alias("cosine"), F.lit(name).alias("license")))
+        vectors.append((name, along))
+
+    def scores(norm: Column, held: Column) -> Column:
+        return F.array(
+            *[F.struct(F.round(product(held, along) / norm, 6).alias("cosine"), F.lit(name).alias("license")) for name, along in vectors]
+        )
+
     # of equal cosines the last license by name
-    return F.array_max(F.array(*scores))
+    return let(norm, lambda size: let(known, lambda held: F.array_max(scores(size, held))))
 
 
 def _ancestors(directory: Column) -> Column:
