@@ -13,8 +13,9 @@ from tarn.session import stage
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key is hot from this share of the rows on, so at most 1 / HOT_SHARE keys are hot.
+# A key is hot from this share of the rows on, or from this many rows, whichever is less.
 HOT_SHARE = 0.002
+HOT_ROWS = 2_000_000
 SALTS = 64
 
 
@@ -61,13 +62,18 @@ def hashable(df: DataFrame) -> list[str]:
 
 
 def hot_keys(facts: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: never more than 1 / share of them."""
+    """Keys holding more than ``share`` of the rows or than ``HOT_ROWS``.
+
+    A hot key always has more than 1 / BROADCAST_ROWS of the rows, so that many
+    keys at most are hot.
+    """
     total = facts.count()
+    most = max(min(total * share, HOT_ROWS), total / BROADCAST_ROWS)
     return (
         facts.dropna(subset=list(on))
         .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > F.lit(total * share))
+        .filter(F.col("_n") > F.lit(most))
         .drop("_n")
     )
 

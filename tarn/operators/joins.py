@@ -124,10 +124,13 @@ def asof_join(
 
     Facts are spread over (key, time segment, salt); each spread gets the rates
     of its segment and the rate in force when the segment begins, so a hot key
-    is worked on by many tasks. Facts never meet each other.
+    is worked on by many tasks. Facts never meet each other. Segments are short
+    enough for the rates as well as for the facts.
     """
     keys = list(keys)
     _, width = time_segment(facts, keys, ts, segment_rows * salts)
+    _, rate_width = time_segment(rates, keys, rate_ts, segment_rows)
+    width = min(width, rate_width)
     cut = lambda c: whole(F.unix_micros(F.col(c)), width)
     points = rates.groupBy(*keys, F.col(rate_ts).alias("_ts")).agg(F.max(rate).alias("_rate"))
     points = points.withColumn("_segment", cut("_ts"))

@@ -204,13 +204,16 @@ def exact_quantiles(
     Equal values are counted on the map side. While the range that holds a
     wanted rank has more than ``most`` rows of several values, it is cut into
     ``bins`` and narrowed to the bins around the rank; what is left is sorted.
-    The number of passes grows with the logarithm of the largest group.
+    The number of passes grows with the logarithm of the largest group. Values are
+    taken as doubles, as the result is one; a long beyond 2 ** 53 is rounded.
     """
     keys = list(keys)
-    counted = (
+    # read for the ranges, by each pass and for the result, so written once
+    counted = stage(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counted",
     )
     last = F.col("_n") - F.lit(1)
     # each quantile lies between the rows numbered floor and ceil of its rank

@@ -122,6 +122,7 @@ def event_study(
     symbol: Sequence[str] = (),
     series_of_rate: Sequence[str] = (),
     horizon: int = 5,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per non-zero rate change with the market's closes around it.
 
@@ -130,6 +131,8 @@ def event_study(
     and the ``horizon``-th later close over the base. Everything is computed
     on the trading days before events are picked, so an event in a gap still
     finds its neighbours; events with fewer later rows than the horizon go.
+    Every series meets every symbol, unless ``pairs``, of the columns of both,
+    says which symbols a series is studied on.
     """
     symbol = list(symbol)
     changes = (
@@ -157,7 +160,11 @@ def event_study(
         F.try_divide(after(horizon), F.col("pre_close")).alias("_rn"),
         f"volatility_pre_{horizon}d",
     )
-    joined = changes.join(base, "event_date", "inner")
+    on = ["event_date"]
+    if pairs is not None:
+        wanted = pairs.select(*series_of_rate, *symbol).distinct()
+        changes, on = dimension_join(changes, wanted, series_of_rate, "inner"), [*symbol, *on]
+    joined = changes.join(base, on, "inner")
     return joined.filter(F.col("_rn").isNotNull()).select(
         *series_of_rate,
         *symbol,

@@ -52,10 +52,14 @@ def _tagged(text: Column, name: str, pattern: str, allow: Sequence[str]) -> Colu
         return F.regexp_replace(text, F.lit(pattern), F.lit(tag))
     # what stands between the matches, each followed by its match or the tag; only a
     # whole match can be allowed
-    between = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    shown = F.transform(matches, lambda m: F.when(m.isin(*allow), m).otherwise(F.lit(tag)))
-    return F.array_join(F.zip_with(between, shown, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
+    def rebuilt(whole: Column) -> Column:
+        between = F.split(whole, pattern, -1)
+        matches = F.regexp_extract_all(whole, F.lit(pattern), F.lit(0))
+        shown = F.transform(matches, lambda m: F.when(m.isin(*allow), m).otherwise(F.lit(tag)))
+        return F.array_join(F.zip_with(between, shown, lambda b, m: F.concat(b, F.coalesce(m, F.lit("")))), "")
+
+    # the text is itself such an expression; inside an array it is worked out once, not twice per type
+    return F.transform(F.array(text), rebuilt)[0]
 
 
 def anonymise(text: Column, allow: Sequence[str] = ()) -> Column:

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tarn.functions.skew import salted_join
-from tarn.sources.schemas import LINEAGE, TableSchema, apply_schema
-from tarn.sources.sinks import append_table, with_lineage, write_rejected
+from tarn.sources.schemas import LINEAGE, PARTITION_COLUMN, TABLE_TYPES, TableSchema, apply_schema, describe_columns
+from tarn.sources.sinks import REJECTED_TABLE, append_table, with_lineage, write_rejected
 
 REASON = "rejection_reason"
 
@@ -97,7 +97,7 @@ def summary(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def ingest(
     raw: DataFrame,
     source: str,
-    schema: TableSchema,
+    schema: TableSchema | None,
     batch_ts: dt.datetime,
     rules: Sequence[Rule] = (),
     namespace: str = "bronze",
@@ -109,7 +109,15 @@ def ingest(
     source is read once. For files and tables, which give the same rows again,
     ``read_once=False`` reads twice instead of copying a large batch. Casts
     that fail reject the record with its original values.
+
+    A source and ``batch_ts`` name a batch. Of a batch that was stored in part,
+    because the run before failed, only the missing part is written, so a repeat
+    neither loses nor doubles rows. Without a ``schema`` the columns are those the
+    records have, nested ones as JSON text; columns new to the table are added to it.
     """
+    spark, table = raw.sparkSession, f"{namespace}.{source}"
+    if schema is None:
+        raw, schema = _undeclared(raw, source, table)
     columns = [f for f in schema.columns.fields if f.name not in LINEAGE]
     declared = T.StructType(columns)
     types = [castable(f.name, f.dataType.simpleString()) for f in columns if f.name in raw.columns]
@@ -123,14 +131,51 @@ def ingest(
         counted = with_lineage(valid, source, batch_ts).observe(
             seen, F.count(F.lit(1)).alias("valid")
         )
-        append_table(counted, namespace, source, schema.bronze())
-        bad = tagged.filter(F.col(REASON).isNotNull())
-        rejected = write_rejected(bad, namespace, source, batch_ts)
-        return {"valid": seen.get["valid"], "rejected": rejected}
+        stored = _stored(spark, table, batch_ts, "_source", source, "_ingestion_timestamp", PARTITION_COLUMN)
+        if not stored:
+            append_table(counted, namespace, source, schema.bronze())
+            stored = seen.get["valid"]
+        held = _stored(spark, f"{namespace}.{REJECTED_TABLE}", batch_ts, "source", source, "_ingested_at")
+        if not held:
+            held = write_rejected(tagged.filter(F.col(REASON).isNotNull()), namespace, source, batch_ts)
+        return {"valid": stored, "rejected": held}
     finally:
         tagged.unpersist()
 
 
+def _stored(
+    spark: SparkSession, table: str, batch_ts: dt.datetime, named: str, source: str, ts: str, day: str | None = None
+) -> int:
+    """Rows of this batch that the table holds. Its day, where there is one, prunes the rest."""
+    if not spark.catalog.tableExists(table):
+        return 0
+    stamp = F.lit(batch_ts).cast("timestamp")
+    rows = spark.table(table)
+    if day in rows.columns:
+        rows = rows.filter(F.col(day) == F.to_date(stamp))
+    return rows.filter((F.col(ts) == stamp) & (F.col(named) == source)).count()
+
+
+def _undeclared(raw: DataFrame, source: str, table: str) -> tuple[DataFrame, TableSchema]:
+    """The records in table types, and a schema of their columns and those the table has."""
+    spark, added = raw.sparkSession, {PARTITION_COLUMN, *LINEAGE}
+    simple = {c["name"]: TABLE_TYPES[c["type"]] for c in describe_columns(raw) if c["name"] not in added}
+    as_text = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+    flat = raw.select(
+        *[
+            (F.to_json(_named(f.name)) if isinstance(f.dataType, as_text) else _named(f.name)).alias(f.name)
+            for f in raw.schema.fields
+        ]
+    )
+    if spark.catalog.tableExists(table):
+        known = {f.name: f.dataType for f in spark.table(table).schema.fields if f.name not in added}
+        new = [f"`{n}` {t.simpleString()}" for n, t in simple.items() if n not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+        simple = {**simple, **known}
+    return flat, TableSchema(source, T.StructType([T.StructField(n, t) for n, t in simple.items()]))
+
+
 def skip_ingested(raw: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
     """Drop records whose release key the table already holds."""
     known = table.select(*key).distinct()
@@ -148,7 +193,8 @@ def skip_redelivered(
 ) -> DataFrame:
     """Drop records whose content the table holds, and repeats within the delivery."""
     fresh = raw.withColumn(out, fingerprint(columns)).dropDuplicates([out])
-    known = table.select(fingerprint(columns).alias(out)).distinct()
+    # a table that keeps the fingerprint is not hashed again
+    known = table.select(out if out in table.columns else fingerprint(columns).alias(out)).distinct()
     return fresh.join(known, out, "left_anti")
 
 

@@ -10,7 +10,7 @@ from importlib import import_module
 
 from tarn.plans.bindings.registry import ORACLES, QUERIES
 
-for _module in ("sources", "sinks", "validation", "joins", "aggregates", "series", "quality", "text", "sql", "streams"):
+for _module in ("sources", "sinks", "validation", "joins", "chain", "aggregates", "series", "quality", "text", "sql", "streams"):
     import_module(f"{__name__}.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]

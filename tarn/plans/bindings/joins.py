@@ -104,6 +104,20 @@ def asof_exact(spark, sf_dir):
     return found.select("event_id", "view_value")
 
 
+@query(
+    "join4_asof_hot_rates",
+    """WITH rates AS (SELECT user_id % 2 AS k, ts AS rate_ts, max(value) AS rate FROM events WHERE event_type <> 'signup' GROUP BY ALL)
+    SELECT e.event_id, r.rate FROM (SELECT *, user_id % 2 AS k FROM events WHERE event_type = 'signup') e
+    ASOF LEFT JOIN rates r ON e.k = r.k AND e.ts >= r.rate_ts""",
+)
+def asof_hot_rates(spark, sf_dir):
+    """Few facts and many rates of two keys: the rates decide how short a segment is."""
+    df = events(spark, sf_dir).withColumn("k", F.col("user_id") % 2)
+    facts = df.filter("event_type = 'signup'").select("event_id", "k", "ts")
+    rates = df.filter("event_type <> 'signup'").select("k", F.col("ts").alias("rate_ts"), F.col("value").alias("v"))
+    return joins.asof_join(facts, rates, ["k"], "ts", "rate_ts", "v", "rate", segment_rows=50).select("event_id", "rate")
+
+
 COST_SQL = """WITH carbon AS (SELECT event_type AS country, date_trunc('hour', ts) AS h, avg(value) AS intensity FROM events GROUP BY ALL),
     efficiency AS (SELECT p_brand AS accelerator, p_type AS model_name, max(p_retailprice) AS speed, avg(p_size) * 10 AS tdp FROM part GROUP BY ALL),
     price AS (SELECT event_type AS country, 'Brand#' || (user_id % 25 + 1) AS accelerator, CAST(ts AS DATE) AS day, avg(value) + 1 AS price FROM events GROUP BY ALL)

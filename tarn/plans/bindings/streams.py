@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tarn.operators.validate import at_most, one_of
 from tarn.plans.bindings.aggregates import SESSION_SQL
 from tarn.plans.bindings.registry import ntz, query, rounded, table
-from tarn.session import scratch_path
+from tarn.session import scratch_database, scratch_path
+from tarn.sources import tables
+from tarn.sources.schemas import TableSchema, columns
 from tarn.streaming import ingest, windows
 
 
@@ -42,6 +44,31 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
+@query(
+    "str1_bronze_table",
+    """SELECT event_type, count(*) FILTER (event_type <> 'error' AND value <= 50) AS stored,
+        count(*) FILTER (event_type = 'error' OR value > 50) AS quarantined, 1::BIGINT AS fresh FROM events GROUP BY event_type""",
+)
+def bronze_table(spark, sf_dir):
+    """Streamed files in the Bronze table of their source: three files, and nothing new in a second run."""
+    base, db = scratch_path(spark, "arrivals"), scratch_database(spark, "bronze")
+    table(spark, sf_dir, "events").repartition(3).write.parquet(f"{base}/in")
+    schema = TableSchema("events", columns(event_id="long", user_id="long", event_type="string", value="double"))
+    rules = [at_most("value", 50), one_of("event_type", ["view", "signup", "purchase", "click"])]
+    for _ in range(2):
+        arrivals = _arrivals(spark, sf_dir, f"{base}/in", files_per_batch=1)
+        ingest.ingest_arrivals_to_bronze(arrivals, "events", schema, f"{base}/checkpoint", rules, db)
+    stored = tables.scan_table(spark, db, "events").select("event_type", "_ingestion_timestamp", F.lit(1).alias("good"))
+    held = spark.table(f"{db}.rejected_records").select(
+        F.get_json_object("payload", "$.event_type").alias("event_type"), F.col("_ingested_at").alias("_ingestion_timestamp"), F.lit(0).alias("good")
+    )
+    rows = stored.unionByName(held)
+    fresh = F.count_distinct(F.when(F.col("_ingestion_timestamp") > F.current_timestamp() - F.expr("INTERVAL 1 DAY"), 1))
+    return rows.groupBy("event_type").agg(
+        F.count_if(F.col("good") == 1).alias("stored"), F.count_if(F.col("good") == 0).alias("quarantined"), fresh.alias("fresh")
+    )
+
+
 @query("str2_redelivery_guard", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
 def redelivery_guard(spark, sf_dir):
     """The same rows arrive in two files."""

@@ -11,6 +11,7 @@ from tarn.operators import validate
 from tarn.plans.bindings.registry import events, lineitem, orders, query, rounded, table
 from tarn.session import scratch_database
 from tarn.sources.schemas import TableSchema, columns
+from tarn.sources.sinks import append_table, with_lineage
 
 DECLARED = columns(event_id="long", user_id="long", channel="string", _source="string")
 
@@ -102,6 +103,42 @@ def ingest_summary(spark, sf_dir):
     )
 
 
+@query(
+    "val4_ingest_repeated",
+    """SELECT event_type <> 'error' AND value <= 50 AS stored, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY ALL""",
+)
+def ingest_repeated(spark, sf_dir):
+    """A batch that failed between its two writes and was run twice more is stored once."""
+    db = scratch_database(spark, "bronze")
+    schema = TableSchema("events", columns(event_id="long", ts="timestamptz", user_id="long", event_type="string", value="double"))
+    stamp = dt.datetime(2024, 2, 1, tzinfo=dt.UTC)
+    good, _ = validate.split(events(spark, sf_dir), event_rules())
+    half = with_lineage(good.select(*schema.names), "events", stamp)
+    append_table(half, db, "events", schema.bronze())
+    for _ in range(2):
+        validate.ingest(events(spark, sf_dir), "events", schema, stamp, event_rules(), db)
+    held = spark.table(f"{db}.rejected_records").select(F.get_json_object("payload", "$.event_id").cast("long").alias("event_id"))
+    rows = spark.table(f"{db}.events").select("event_id", F.lit(True).alias("stored")).unionByName(held.withColumn("stored", F.lit(False)))
+    return rows.groupBy("stored").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
+@query(
+    "val4_ingest_undeclared",
+    """SELECT p_brand, count(*) AS n, count(*) FILTER (p_size > 25) AS sized, round(sum(p_retailprice), 2) AS price FROM part GROUP BY p_brand""",
+)
+def ingest_undeclared(spark, sf_dir):
+    """No schema is declared; the second delivery brings a column the table did not have."""
+    db, part = scratch_database(spark, "bronze"), table(spark, sf_dir, "part")
+    first = part.filter("p_size <= 25").select("p_partkey", "p_brand", "p_retailprice")
+    second = part.filter("p_size > 25").select("p_brand", "p_size", "p_retailprice", F.array("p_partkey").alias("keys"))
+    for day, rows in ((1, first), (2, second)):
+        validate.ingest(rows, "part", None, dt.datetime(2024, 2, day, tzinfo=dt.UTC), namespace=db)
+    return spark.table(f"{db}.part").groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("p_size").isNotNull() & F.col("keys").startswith("[")).alias("sized"),
+        rounded(F.sum("p_retailprice"), 2).alias("price"),
+    )
+
+
 @query(
     "val5_skip_ingested",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1998-01-01'",

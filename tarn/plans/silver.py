@@ -6,26 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions import formulas
-from tarn.operators.aggregates import best_per_group, latest_per_key, weighted_mean
+from tarn.functions.skew import null_safe_join
+from tarn.operators.aggregates import best_per_group, latest_per_key, mix_json, weighted_mean
 from tarn.operators.joins import join_rate, lookup, lookup_name, lookup_pattern, rate_calendar
 from tarn.operators.series import change_bps, fill_calendar, simple_return
 from tarn.session import stage
 from tarn.operators.validate import business_days, deduplicate, only_series
 
 
-def carbon_intensity(generation: DataFrame, factors: DataFrame) -> DataFrame:
+def carbon_intensity(generation: DataFrame, factors: DataFrame, mix: bool = False) -> DataFrame:
     """Hourly share-weighted carbon intensity per country.
 
     ``factors`` is (psr_type, gco2_kwh). Quarter-hour points are averaged to
-    hours first; a plant type without a factor does not count.
+    hours first; a plant type without a factor does not count. With ``mix`` the
+    hour's generation per plant type is added as JSON.
     """
     hourly = generation.groupBy(
         F.date_trunc("hour", "timestamp_utc").alias("timestamp_hour"), "country", "psr_type"
     ).agg(F.avg("quantity_mw").alias("quantity_mw"))
     known = lookup(hourly, factors, "psr_type", "psr_type", {"gco2_kwh": "gco2_kwh"})
-    return weighted_mean(
-        known, ["timestamp_hour", "country"], "quantity_mw", "gco2_kwh", "carbon_intensity_gco2_kwh"
-    )
+    keys = ["timestamp_hour", "country"]
+    intensity = weighted_mean(known, keys, "quantity_mw", "gco2_kwh", "carbon_intensity_gco2_kwh")
+    if not mix:
+        return intensity
+    return null_safe_join(intensity, mix_json(hourly, keys, "psr_type", "quantity_mw", "generation_mix_json"), keys)
 
 
 def mlperf_efficiency(
@@ -48,28 +52,33 @@ def mlperf_efficiency(
 
 
 def cloud_gpu_pricing(
-    prices: DataFrame, fx_rates: DataFrame | None, accelerators: DataFrame
+    prices: DataFrame, fx_rates: DataFrame | None, accelerators: DataFrame, history: bool = False
 ) -> DataFrame:
     """Latest price per instance and region in euro, with the accelerator behind it.
 
     ``accelerators`` is (pattern, accelerator). Without any rate the price is
     kept 1:1; with rates, a day before the first one gives null. Of several rates of
-    a day the one ingested last counts, then the smallest.
+    a day the one ingested last counts, then the smallest. Rates may name their
+    currency; those of dollars are used. With ``history`` there is a price for each
+    day of capture, which is what the Gold table asks for.
     """
-    latest = latest_per_key(
-        prices, ["provider", "instance_type", "region"], "captured_at", ["sku_name", "price_usd_per_hour"]
-    )
-    # one row per instance and region, read several times from here on
-    latest = stage(latest.withColumn("valid_from", F.to_date("captured_at")), "latest")
+    dated = prices.withColumn("valid_from", F.to_date("captured_at"))
+    keys = ["provider", "instance_type", "region", *(["valid_from"] if history else [])]
+    # a row per instance and region (and day), read several times from here on
+    latest = stage(latest_per_key(dated, keys, "captured_at", ["sku_name", "price_usd_per_hour"]), "latest")
     if fx_rates is None or fx_rates.isEmpty():
         rated = latest.withColumn("eur_usd", F.lit(1.0))
     else:
         until = latest.agg(F.max("valid_from").alias("d")).first()["d"]
         newest = [F.col("_ingestion_timestamp").desc()] if "_ingestion_timestamp" in fx_rates.columns else []
-        daily = deduplicate(fx_rates, ["observation_date"], [F.col("eur_usd").isNull(), *newest, F.col("eur_usd")])
-        calendar = rate_calendar(daily, [], "observation_date", "eur_usd", until)
+        quoted = fx_rates if "currency" in fx_rates.columns else fx_rates.withColumn("currency", F.lit("USD"))
+        daily = deduplicate(
+            quoted, ["currency", "observation_date"], [F.col("eur_usd").isNull(), *newest, F.col("eur_usd")]
+        )
+        calendar = rate_calendar(daily, ["currency"], "observation_date", "eur_usd", until)
         rated = join_rate(
-            latest, calendar, [], F.col("valid_from"), "observation_date", "eur_usd", "eur_usd"
+            latest.withColumn("currency", F.lit("USD")), calendar, ["currency"],
+            F.col("valid_from"), "observation_date", "eur_usd", "eur_usd",
         )
     named = lookup_pattern(
         rated, accelerators, "instance_type", "pattern", "accelerator", "accelerator"

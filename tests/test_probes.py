@@ -1,18 +1,21 @@
 """Inputs that once gave wrong rows or no end."""
 
+import datetime as dt
 import math
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tarn.functions import skew
 from tarn.operators import lineage, text, validate, vectors
 from tarn.operators.scans import exact_quantiles
-from tarn.plans import silver
+from tarn.operators.series import below_quartile
+from tarn.plans import gold, silver
 from tarn.session import scratch_database
 from tarn.sources import files
 from tarn.sources.schemas import TableSchema, columns
-from tarn.sources.sinks import append_table, upsert_table
+from tarn.sources.sinks import append_table, upsert_table, with_lineage
 
 
 def test_quantiles_end_on_infinities(spark):
@@ -112,3 +115,67 @@ def test_deep_lineage(spark):
     edges = spark.createDataFrame([(f"d{i}", f"d{i + 1}") for i in range(55)], "c string, p string")
     chain = lineage.upstream_chain(edges, "c", "p", staged_every=8)
     assert chain.filter("dataset = 'd0'").agg({"depth": "max"}).first()[0] == 55
+
+
+def test_a_batch_is_stored_once(spark):
+    db, stamp = scratch_database(spark, "again"), dt.datetime(2024, 5, 1, tzinfo=dt.UTC)
+    schema = TableSchema("t", columns(n="long"))
+    raw = spark.createDataFrame([("1",), ("2",), ("x",)], "n string")
+    # the run before stored the valid rows and failed before the rejects
+    good = with_lineage(raw.filter("n != 'x'"), "t", stamp)
+    append_table(good, db, "t", schema.bronze())
+    for _ in range(2):
+        assert validate.ingest(raw, "t", schema, stamp, namespace=db) == {"valid": 2, "rejected": 1}
+    assert rows(spark.table(f"{db}.t"), "n") == [(1,), (2,)] and spark.table(f"{db}.rejected_records").count() == 1
+    # another batch is another delivery
+    validate.ingest(raw, "t", schema, stamp + dt.timedelta(hours=1), namespace=db)
+    assert spark.table(f"{db}.t").count() == 4 and spark.table(f"{db}.rejected_records").count() == 2
+
+
+def test_undeclared_columns_are_added(spark):
+    db, stamp = scratch_database(spark, "undeclared"), dt.datetime(2024, 5, 1, tzinfo=dt.UTC)
+    validate.ingest(spark.createDataFrame([(1, [2])], "a long, `b.c` array<int>"), "t", None, stamp, namespace=db)
+    more = spark.createDataFrame([("x", 3)], "d string, a long")
+    validate.ingest(more, "t", None, stamp + dt.timedelta(days=1), namespace=db)
+    assert rows(spark.table(f"{db}.t"), "a", "`b.c`", "d") == [(1, "[2]", None), (3, None, "x")]
+
+
+def test_hot_keys_by_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 1000,) for i in range(3000)] + [(5,)] * 8, "k int")
+    assert rows(skew.hot_keys(df, ["k"], share=0.5)) == []
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    assert rows(skew.hot_keys(df, ["k"], share=0.5)) == [(5,)]
+
+
+def test_an_event_study_of_chosen_pairs(spark):
+    days = [dt.date(2024, 3, 4) + dt.timedelta(d + 2 * (d // 5)) for d in range(10)]
+    market = spark.createDataFrame([(s, d, 10.0 + i) for s in "xy" for i, d in enumerate(days)], "symbol string, observation_date date, close double")
+    rates = spark.createDataFrame([(s, d, r) for s in "ab" for d, r in ((days[0], 1.0), (days[1], 2.0))], "series string, observation_date date, rate_pct double")
+    assert gold.event_features(rates, market).count() == 4
+    pairs = spark.createDataFrame([("a", "y"), ("a", "y")], "series string, symbol string")
+    assert rows(gold.event_features(rates, market, pairs), "series", "symbol", "pre_close") == [("a", "y", 10.0)]
+
+
+@pytest.mark.parametrize("per_instance", [True, False])
+def test_cheap_hours_equal_a_window_over_the_rows(spark, per_instance):
+    day = dt.datetime(2024, 5, 1)
+    hours = [("ES", day + dt.timedelta(hours=h), float(h % 3)) for h in range(30)] + [("FR", day + dt.timedelta(hours=h), 1.0) for h in range(5)]
+    carbon = spark.createDataFrame(hours, "country string, timestamp_hour timestamp, carbon_intensity_gco2_kwh double")
+    efficiency = spark.createDataFrame(
+        [("m1", "A", 1.0, 9.0, 9.0), ("m2", "A", 2.0, 9.0, 9.0), ("m1", "B", 3.0, 9.0, 9.0)],
+        "model_name string, accelerator string, tokens_per_sec double, tdp_watts double, wh_per_million_tokens double",
+    )
+    quotes = [("p", "i", "r1", "A", 3.0), ("p", "i", "r2", "A", 2.0), ("q", "i", "r1", "A", 1.0), ("q", "j", "r2", "B", None), ("p", "i", "r3", "A", 9.0)]
+    pricing = spark.createDataFrame(
+        [(*q, day.date()) for q in quotes],
+        "provider string, instance_type string, region string, accelerator string, price_eur_per_hour double, valid_from date",
+    )
+    regions = spark.createDataFrame([("r1", "ES"), ("r2", "FR"), ("r3", "ES")], "region string, country string")
+    cost = gold.ai_inference_cost(carbon, efficiency, pricing, regions, per_instance=per_instance)
+    if per_instance:
+        again = below_quartile(cost, ["provider", "instance_type"], "timestamp_hour", "price_eur_per_hour", "want")
+        assert again.filter("not (want <=> cheapest_hour_flag)").isEmpty() and again.filter("want").count() == 10
+        return
+    grain = ["country", "timestamp_hour", "model_name", "accelerator"]
+    assert cost.count() == cost.select(*grain).distinct().count() == 60 + 10 + 5
+    assert cost.filter("country = 'ES' and price_eur_per_hour != 1.0").isEmpty()

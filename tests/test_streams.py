@@ -2,11 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tarn.operators import validate
 from tarn.operators.aggregates import sessions
 from tarn.operators.validate import at_most
+from tarn.session import scratch_database
+from tarn.sources.schemas import TableSchema, columns
 from tarn.streaming import ingest, windows
 
 UTC = dt.UTC
@@ -38,6 +42,26 @@ def test_two_drops_of_files(spark, folder):
     assert valid.select("_ingestion_timestamp").distinct().count() <= valid.select("batch_id").distinct().count()
 
 
+def test_a_failed_batch_lands_once(spark, folder, monkeypatch):
+    db = scratch_database(spark, "landed")
+    schema = TableSchema("s", columns(id="long", v="double"))
+    run = lambda: ingest.ingest_arrivals_to_bronze(
+        ingest.read_arrivals(spark, f"{folder}/in", batch(spark, 0, 1).schema, files_per_batch=1),
+        "s", schema, f"{folder}/checkpoint", [at_most("v", 10)], db,
+    )
+    batch(spark, 0, 100).repartition(3).write.parquet(f"{folder}/in")
+    with monkeypatch.context() as broken:
+        broken.setattr(validate, "write_rejected", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="ZeroDivisionError"):
+            run()
+    run()
+    assert run() == {"valid": 0, "rejected": 0}
+    stored = spark.table(f"{db}.s")
+    assert rows(stored, "id") == rows(batch(spark, 0, 100).filter("v <= 10"), "id")
+    assert stored.select("_ingestion_timestamp").distinct().count() == 3 and "ingestion_day" in stored.columns
+    assert stored.count() + spark.table(f"{db}.rejected_records").count() == 100
+
+
 def test_redelivered_rows_are_dropped(spark, folder):
     for _ in range(2):
         batch(spark, 0, 60).write.mode("append").parquet(f"{folder}/in")
