@@ -229,5 +229,5 @@ def classified(spark, sf_dir):
     """Vectors of label 0 against the rest, each classed by a model that has not seen it."""
     df = table(spark, sf_dir, "embeddings").withColumn("target", (F.col("label") == 0).cast("int"))
     out = stage(learning.classify_held_out(df, "vec_id", "embedding", "target", iterations=3), "classified")
-    right = out.agg((F.avg((F.col("predicted") == F.col("target")).cast("int")) > 0.5).alias("mostly_right"))
-    return out.groupBy("target").agg(F.count("predicted").alias("scored")).join(F.broadcast(right))
+    right = out.agg(F.avg((F.col("predicted") == F.col("target")).cast("int")).alias("share")).first()["share"]
+    return out.groupBy("target").agg(F.count("predicted").alias("scored"), F.lit(right > 0.5).alias("mostly_right"))
