@@ -18,6 +18,11 @@ ENTITIES = {
 }
 
 
+# A character every match holds: texts without it are not searched, as an address has no
+# left boundary and each place of a long word would be tried to its end.
+HELD = {"EMAIL_ADDRESS": "@"}
+
+
 def _matches(text: Column, pattern: str, allow: Sequence[str]) -> Column:
     """Number of matches, terms of the allowlist left out."""
     if not allow:
@@ -38,7 +43,10 @@ def detect_entities(
     left, counts = df.withColumn("_rest", F.col(text)), []
     for i, (name, pattern) in enumerate(ENTITIES.items()):
         # a step of its own, so that no pattern runs twice over a text
-        left = left.withColumn(f"_n{i}", _matches(F.col("_rest"), pattern, allow))
+        found = _matches(F.col("_rest"), pattern, allow)
+        if name in HELD:
+            found = F.when(F.contains(F.col("_rest"), F.lit(HELD[name])), found).otherwise(F.lit(0))
+        left = left.withColumn(f"_n{i}", found)
         tagged = _tagged(F.col("_rest"), name, pattern, allow)
         left = left.withColumn("_rest", F.when(F.col(f"_n{i}") > 0, tagged).otherwise(F.col("_rest")))
         counts.append(F.struct(F.lit(name).alias("entity_type"), F.col(f"_n{i}").alias("n")))
@@ -65,7 +73,9 @@ def _tagged(text: Column, name: str, pattern: str, allow: Sequence[str]) -> Colu
 def anonymise(text: Column, allow: Sequence[str] = ()) -> Column:
     """Replace each entity by its tag, types in order; allowed terms stay."""
     for name, pattern in ENTITIES.items():
-        text = _tagged(text, name, pattern, allow)
+        tagged = _tagged(text, name, pattern, allow)
+        held = F.contains(text, F.lit(HELD[name])) if name in HELD else None
+        text = tagged if held is None else F.when(held, tagged).otherwise(text)
     return text
 
 
