@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.functions import formulas
+from tarn.functions.fixed_values import PRODUCTION_TYPES
 from tarn.operators import joins, lineage
 from tarn.operators.aggregates import latest_per_key
 from tarn.operators.series import resample
@@ -30,6 +31,20 @@ def dimension_lookup(spark, sf_dir):
     return regions.select("c_custkey", "nation", "region")
 
 
+@query(
+    "join1_production_types",
+    "WITH named(code, name) AS (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in PRODUCTION_TYPES.items()) + """)
+    SELECT name AS production_type, count(*) AS n, round(sum(value), 2) AS quantity FROM
+        (SELECT *, 'B' || lpad(CAST(user_id % 26 AS VARCHAR), 2, '0') AS psr FROM events) LEFT JOIN named ON psr = code GROUP BY ALL""",
+)
+def production_types(spark, sf_dir):
+    """Events as generation per plant type; codes that are not listed keep their rows without a name."""
+    psr = F.concat(F.lit("B"), F.lpad((F.col("user_id") % 26).cast("string"), 2, "0"))
+    listed = spark.createDataFrame(list(PRODUCTION_TYPES.items()), "code string, name string")
+    named = joins.lookup(events(spark, sf_dir).withColumn("psr", psr), listed, "psr", "code", {"production_type": "name"})
+    return named.groupBy("production_type").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("value"), 2).alias("quantity"))
+
+
 @query(
     "join2_attribute_by_name",
     """WITH power AS (SELECT p_brand, max(p_retailprice) AS tdp FROM part WHERE p_brand < 'Brand#2' GROUP BY p_brand)

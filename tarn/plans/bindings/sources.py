@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tarn.operators.validate import ingest
 from tarn.plans.bindings.registry import TABLES, events, ntz, query, rounded, table
 from tarn.session import scratch_database, scratch_path
-from tarn.sources import envelopes, files, schemas
+from tarn.sources import connect, envelopes, files, schemas
 from tarn.sources import tables as catalog
 
 
@@ -261,6 +262,31 @@ def discover(spark, sf_dir):
     return found.select("table_name", "column_name", "table_type")
 
 
+@query(
+    "sch2_discover_and_ingest",
+    """SELECT o_orderstatus AS status, count(*) AS n, count(o_orderkey) AS keys, round(sum(o_totalprice), 2) AS total,
+        count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent FROM orders GROUP BY ALL""",
+)
+def discover_and_ingest(spark, sf_dir):
+    """A reader registered for landed JSON lines; its columns are discovered from every row, then ingested."""
+    folder, db = scratch_path(spark, "lines"), scratch_database(spark, "bronze")
+    order = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("total"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+    )
+    order.write.json(folder)
+    connect.register_reader("json_lines", lambda s, o: s.read.json(o["path"]))
+    found = {c["name"]: c["type"] for c in connect.discover(spark, "json_lines", {"path": folder})}
+    schema = schemas.TableSchema("orders", schemas.columns(**found))
+    raw = connect.read_source(spark, "json_lines", {"path": folder})
+    ingest(raw, "orders", schema, dt.datetime(2024, 2, 1, tzinfo=dt.UTC), namespace=db, read_once=False)
+    # sums and conditions that only typed columns allow
+    return spark.table(f"{db}.orders").groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.col("key")).alias("keys"),
+        rounded(F.sum("total"), 2).alias("total"), F.count_if("urgent").alias("urgent"),
+    )
+
+
 @query(
     "sch3_json_inference",
     """WITH bodies AS (
