@@ -112,8 +112,10 @@ def ingest(
 
     A source and ``batch_ts`` name a batch. Of a batch that was stored in part,
     because the run before failed, only the missing part is written, so a repeat
-    neither loses nor doubles rows. Without a ``schema`` the columns are those the
-    records have, nested ones as JSON text; columns new to the table are added to it.
+    neither loses nor doubles rows. (A driver lost while it moves one write's files
+    into place can leave part of them; that is not noticed.) Without a ``schema`` the
+    columns are those the records have, nested ones as JSON text; columns new to the
+    table are added to it.
     """
     spark, table = raw.sparkSession, f"{namespace}.{source}"
     if schema is None:
