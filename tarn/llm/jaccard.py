@@ -26,6 +26,7 @@ Equal sets within a chunk of documents are one row from the start.
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -84,6 +85,16 @@ def _size_classes(most: int, percent: int) -> list[int]:
     return least + [least[-1] * 100 // percent + 1]
 
 
+def _spare(differ: int, fewest: int) -> int:
+    """Ranges beyond those needed: enough for the empty ranges of all but few sets of ``fewest`` n-grams."""
+    spare = differ // 8
+    for _ in range(3):
+        ranges = differ + 1 + spare
+        empty = ranges * math.exp(-fewest / ranges)
+        spare = min(differ, max(spare, int(empty + 3 * math.sqrt(empty))))
+    return spare
+
+
 def _range_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     """The keys of one document, for its own size class and the next."""
     classes = _size_classes(len(grams), percent)
@@ -93,7 +104,7 @@ def _range_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     for c in (own, own + 1):
         largest = classes[c + 1] - 1 if c + 1 < len(classes) else classes[c] * 100 // percent
         differ = 2 * largest * (100 - percent) // (100 + percent)
-        spare = differ // 8
+        spare = _spare(differ, classes[c - 1] if c else 1)
         ranges = differ + 1 + spare
         edges = bucket_edges(grams, ranges)
         sums = np.zeros(len(grams) + 1, dtype=np.uint64)
@@ -101,8 +112,9 @@ def _range_keys(grams: np.ndarray, percent: int) -> np.ndarray:
         held = np.diff(edges)
         key = mixed(sums[edges[1:]] - sums[edges[:-1]] + held.astype(np.uint64))
         key = mixed(key + mixed(np.arange(ranges, dtype=np.uint64) + np.uint64((c + 1) << 32)))
-        strong = held >= STRONG
-        found.append(key[strong] if ranges - np.count_nonzero(strong) <= spare else key)
+        # the weakest go, as many sizes as the spare ranges allow; empty ones would let strangers meet
+        least = next((n for n in range(STRONG, 0, -1) if np.count_nonzero(held < n) <= spare), 0)
+        found.append(key[held >= least])
     return np.concatenate(found)
 
 
