@@ -4,8 +4,9 @@ A text gets four counts and from them four signals: symbols per character of its
 words, repeated lines per line, repeated words per word, and the length of its
 words. A fixed base rule drops what no language or source should hold. Beyond
 it, cutoffs are not fixed: each (language, source) gets a mergeable quantile
-sketch of every signal, and a text is dropped if a signal lies far outside the
-quartiles of its own group. Groups of few documents use the merged sketches of
+sketch of every signal over the texts that pass the base rule, and a text is dropped
+if a signal lies far outside the quartiles and the upper eighth of its own group.
+Groups of few documents use the merged sketches of
 their language, and small languages those of all documents.
 
 Signals are rounded before they are sketched and cutoffs after, so that the
@@ -28,10 +29,13 @@ MOST_REPEATED = 20  # percent of words in repeated windows
 
 SKETCH_SIZE = 2000
 LEAST_ROWS = 50
-# a cutoff lies this many quartile distances above the upper quartile, and at least the
-# given distance from it: the resolution below which a signal says nothing
+# a cutoff lies this many spreads above the upper quartile: the distance of the quartiles, or that
+# to the upper eighth where most of a group is equal. It lies at least the given distance from it,
+# the resolution of a signal: a symbol in fifty characters, a line in ten, a window and its copy in
+# two hundred words, half a character of the mean length
 FAR_OUT = 3.0
-SIGNALS = {"symbols": 0.05, "lines": 0.5, "repeats": 0.19, "long_words": 4.0, "short_words": 2.0}
+EIGHTH = 0.125
+SIGNALS = {"symbols": 0.02, "lines": 0.1, "repeats": 0.05, "long_words": 0.5, "short_words": 0.5}
 
 
 def _repeated_words(tokens: Column, size: int) -> Column:
@@ -133,9 +137,9 @@ def _cutoffs(scored: DataFrame, keys: list[str]) -> DataFrame:
         fields = []
         for s, least in SIGNALS.items():
             # short words are long words seen from the other side
-            of, low, high, sign = (s, 0.25, 0.75, 1) if s != "short_words" else ("long_words", 0.75, 0.25, -1)
-            spread = (quantile(of, high) - quantile(of, low)) * sign
-            reach = F.greatest(spread * FAR_OUT, F.lit(least))
+            of, low, high, far, sign = (s, 0.25, 0.75, 1 - EIGHTH, 1) if s != "short_words" else ("long_words", 0.75, 0.25, EIGHTH, -1)
+            middle, tail = (quantile(of, high) - quantile(of, low)) * sign, (quantile(of, far) - quantile(of, high)) * sign
+            reach = F.greatest(middle * FAR_OUT, tail * FAR_OUT, F.lit(least))
             fields.append(F.round(quantile(of, high) * sign + reach, 2).alias(s))
         kept = [c for c in (*keys, "_one") if c in table.columns]
         return table.select(*kept, F.struct(*fields).alias(name), (F.col("_rows") >= LEAST_ROWS).alias(f"{name}_ok"))
@@ -155,19 +159,19 @@ def _judge(docs: DataFrame, text: str, lang: str, source: str, keep: list[Column
     counted = text_counts(
         docs.select(*keep, text_of(text).alias("_text"), key(lang).alias("_lang"), key(source).alias("_source")), "_text"
     ).drop("_text")
+    n_words, repeated = F.col("_counts.n_words"), F.col("_counts.n_repeat_words")
+    base_failed = (n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n_words)
+    counted = counted.withColumn("_base_failed", base_failed)
     scored = stage(
         counted.withColumn("_signals", F.struct(*[c.alias(s) for s, c in _signals().items()])), "counts"
     )
     keys = ["_lang", "_source"]
-    judged = small_join(scored, stage(_cutoffs(scored, keys), "cutoffs"), keys)
+    # what the base rule drops must not widen the cutoffs of the rest
+    judged = small_join(scored, stage(_cutoffs(scored.filter("not _base_failed"), keys), "cutoffs"), keys)
     too_far = F.lit(False)
     for s in SIGNALS:
         too_far = too_far | (F.col(f"_signals.{s}") > F.col(f"_cutoff.{s}"))
-    n_words, repeated = F.col("_counts.n_words"), F.col("_counts.n_repeat_words")
-    base_failed = (n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n_words)
-    return judged.withColumn("_base_failed", base_failed).withColumn(
-        "_kept", ~F.col("_base_failed") & ~F.coalesce(too_far, F.lit(False))
-    )
+    return judged.withColumn("_kept", ~F.col("_base_failed") & ~F.coalesce(too_far, F.lit(False)))
 
 
 def quality_rules(
