@@ -29,3 +29,15 @@ def test_headers_with_ordinary_words(spark):
     got = scan(spark, files)
     assert [got[f"code/{k}"][:2] for k in range(len(HEADERS))] == [(name, "header") for name in HEADERS.values()]
     assert all(got[f"prose/{k}"] == (None, None, None) for k in range(20))
+
+
+def test_full_texts_speak_for_their_directories(spark):
+    texts = dict(full_texts())
+    mit = texts["MIT"].replace("<year> <copyright holders>", "2020 Jane Doe and contributors")
+    files = [("a/LICENSE", mit), ("a/x/y.py", "words"), ("b/LICENSE", texts["Apache-2.0"].upper()), ("b/z.py", None), ("c/q.py", prose(50))]
+    files += [(f"all/{name}/LICENSE", text) for name, text in texts.items()]
+    got = scan(spark, files)
+    assert got["a/LICENSE"] == ("MIT", "file", None) and got["a/x/y.py"] == ("MIT", "inherited", "a")
+    assert got["b/LICENSE"] == ("Apache-2.0", "file", None) and got["b/z.py"] == ("Apache-2.0", "inherited", "b")
+    assert got["c/q.py"] == (None, None, None)
+    assert all(got[f"all/{name}/LICENSE"] == (name, "file", None) for name in texts)
