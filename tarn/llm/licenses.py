@@ -92,7 +92,8 @@ def _whole(text: Column, vectors, least_cosine: float) -> Column:
         return F.lit(None).cast("array<string>")
     least = least_cosine**2 - 1e-9
     masses = [{t: v * v for t, v in vector.items()} for _, vector in vectors]
-    known = F.array(*[F.lit(t) for t in sorted({t for mass in masses for t in mass})])
+    # one literal each, which the optimizer splits once; a literal per term takes long to plan
+    known = F.split(F.lit(" ".join(sorted({t for mass in masses for t in mass}))), " ")
     fewest = []
     for mass in masses:
         total, n = 0.0, 0
@@ -105,7 +106,8 @@ def _whole(text: Column, vectors, least_cosine: float) -> Column:
     def near(held: Column) -> Column:
         enough = F.lit(False)
         for mass, n in zip(masses, fewest):
-            along = F.create_map(*[F.lit(x) for pair in mass.items() for x in pair])
+            numbers = F.split(F.lit(" ".join(repr(m) for m in mass.values())), " ").cast("array<double>")
+            along = F.map_from_arrays(F.split(F.lit(" ".join(mass)), " "), numbers)
             parts = F.transform(held, lambda t: F.coalesce(F.try_element_at(along, t), F.lit(0.0)))  # noqa: B023
             total = F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
             enough = enough | ((F.size(held) >= n) & (total >= F.lit(least)))
