@@ -4,7 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tarn.operators import learning, quality, text, vectors

@@ -3,7 +3,7 @@ import datetime as dt
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
