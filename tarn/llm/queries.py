@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarn.llm.alignment import align_tokens
 from tarn.llm.common import read
 from tarn.llm.exact_dedup import exact_dedup
 from tarn.llm.jaccard import near_copies
@@ -19,6 +20,7 @@ from tarn.llm.secret_scan import find_secrets
 from tarn.llm.url_filter import filter_urls
 
 TOKENIZER = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -91,3 +93,8 @@ EXACT_DEDUP = r"""
 @query("op10_exact_dedup", EXACT_DEDUP)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(read(spark, sf_dir, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
