@@ -9,6 +9,7 @@ from tarn.llm.alignment import align_tokens
 from tarn.llm.common import read
 from tarn.llm.exact_dedup import exact_dedup
 from tarn.llm.jaccard import near_copies
+from tarn.llm.language import identify_languages
 from tarn.llm.licenses import scan_licenses
 from tarn.llm.mixing import mix_sources, weights_in_order
 from tarn.llm.packing import pack_documents
@@ -16,6 +17,7 @@ from tarn.llm.quality import quality_rules
 from tarn.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tarn.llm.repeated_bytes import remove_repeats
 from tarn.llm.repeated_words import remove_repeated_words
+from tarn.llm.resampling import resample
 from tarn.llm.secret_scan import find_secrets
 from tarn.llm.url_filter import filter_urls
 
@@ -95,6 +97,70 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+RESAMPLING = r"""
+    WITH crc_step AS (
+        SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+    ),
+    doc_words AS (
+        SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ),
+    aim_words AS (
+        SELECT unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+        FROM benchmark
+    ),
+    held AS (SELECT doc, unnest(words) AS word FROM doc_words),
+    per_doc AS (SELECT doc, word, count(*) AS n FROM held GROUP BY ALL),
+    counted AS (
+        SELECT word, sum(s) AS s, sum(t) AS t FROM (
+            SELECT word, n AS s, 0 AS t FROM per_doc UNION ALL SELECT word, 0, 1 FROM aim_words
+        ) GROUP BY word
+    ),
+    hashed AS (
+        SELECT word, s, t, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(digits) + 1, 2),
+            lambda i: 16 * (strpos('0123456789ABCDEF', substr(digits, i, 1)) - 1) + strpos('0123456789ABCDEF', substr(digits, i + 1, 1)) - 1)),
+            lambda c, b: xor(c >> 8, step[1 + (xor(c, b) & 255)])), 4294967295) % 10000 AS bucket
+        FROM (SELECT *, hex(encode(word)) AS digits FROM counted), crc_step
+    ),
+    buckets AS (
+        SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t, (SELECT sum(s) FROM counted)::DOUBLE AS all_s, (SELECT sum(t) FROM counted)::DOUBLE AS all_t
+        FROM hashed GROUP BY bucket
+    ),
+    gain AS (
+        SELECT word, floor(1000 * ln((b.t + 1) * (all_s + 10000) / ((b.s + 1) * (all_t + 10000))))::BIGINT AS gain FROM hashed JOIN buckets b USING (bucket)
+    ),
+    weighed AS (SELECT doc, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight FROM per_doc JOIN gain USING (word) GROUP BY doc),
+    scored AS (
+        SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+            list_reduce(list_concat([0], list_transform(range(1, 9), lambda i: strpos('0123456789abcdef', substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), i, 1)) - 1)),
+                lambda h, d: 16 * h + d) AS h
+        FROM doc_words LEFT JOIN weighed USING (doc)
+    ),
+    drawn AS (
+        SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, n_features >= 20 AS fit FROM scored
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place, count(*) OVER (PARTITION BY fit) AS n FROM drawn
+    )
+    SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN fit AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
+@query("op11_importance_resampling", RESAMPLING)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(read(spark, sf_dir, "documents"), tokenizer_path(BYTES), tokenizer_path(PIECES))
