@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm.chunks import (
-    Stretches, bucket_count, bucket_edges, groups_of_equal, mixed, opened, packed, rows_of, spark_schema, split_words,
-    total_bytes, unpacked, windows, write_chunks,
+    Stretches, bucket_count, groups_of_equal, held_buckets, mixed, opened, packed, rows_of, spark_schema, split_words,
+    total_bytes, unpacked, windows, word_hashes, write_chunks,
 )
 from tarn.llm.common import columns_of, small_join, whole_row
 from tarn.llm.components import connected
@@ -58,20 +58,19 @@ SETS = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("grams", pa.binary())
 
 
 def _sets(row: dict, words: int) -> list[np.ndarray]:
-    """The sorted n-gram fingerprints of each document of a chunk; a shorter text is one n-gram."""
+    """The sorted n-gram hashes of each document of a chunk; a shorter text is one n-gram."""
     data, byte_ends = opened(row)
     upper = (data >= 0x41) & (data <= 0x5A)
     data = np.where(upper, data + 0x20, data).astype(np.uint8)
     starts, stops, ends = split_words(data, byte_ends)
-    prints = Stretches(Stretches(data).of(starts, stops))
+    prints = Stretches(word_hashes(data, starts, stops))
     places = windows(ends, words)
-    grams = prints.of(places, places + words)
+    grams = prints.of(places, words)
     cuts = np.searchsorted(places, ends)
     out = []
     for k in range(len(ends) - 1):
         if 0 < ends[k + 1] - ends[k] < words:
-            few = prints.of(ends[k : k + 1], ends[k + 1 : k + 2])
-            out.append(mixed(few + np.uint64(ends[k + 1] - ends[k])))
+            out.append(prints.of(ends[k : k + 1], int(ends[k + 1] - ends[k])))
         else:
             out.append(np.unique(grams[cuts[k] : cuts[k + 1]]))
     return out
@@ -95,6 +94,12 @@ def _spare(differ: int, fewest: int) -> int:
     return spare
 
 
+def _range_edges(sorted_grams: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of equal ranges of hashes begins in the sorted n-grams, and where the last one ends."""
+    firsts = [-(-(k << 64) // ranges) for k in range(ranges)]
+    return np.append(np.searchsorted(sorted_grams, np.array(firsts, dtype=np.uint64)), len(sorted_grams))
+
+
 def _range_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     """The keys of one document, for its own size class and the next."""
     classes = _size_classes(len(grams), percent)
@@ -106,7 +111,7 @@ def _range_keys(grams: np.ndarray, percent: int) -> np.ndarray:
         differ = 2 * largest * (100 - percent) // (100 + percent)
         spare = _spare(differ, classes[c - 1] if c else 1)
         ranges = differ + 1 + spare
-        edges = bucket_edges(grams, ranges)
+        edges = _range_edges(grams, ranges)
         sums = np.zeros(len(grams) + 1, dtype=np.uint64)
         np.cumsum(spread, out=sums[1:])
         held = np.diff(edges)
@@ -205,13 +210,12 @@ def _near(chunks: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
             owner = np.repeat(np.array(alone, dtype="<u4"), [len(k) for k in per_doc])
             order = np.argsort(keys, kind="stable")
             keys, owner = keys[order], owner[order]
-            edges = bucket_edges(keys, buckets)
-            held = [b for b in range(buckets) if edges[b + 1] > edges[b]]
+            held, edges = held_buckets(keys, buckets)
+            runs = list(zip(edges[:-1], edges[1:]))
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": held, "chunk": [row["chunk"]] * len(held),
-                    "keys": [packed(keys[edges[b] : edges[b + 1]], _KEY_BYTES) for b in held],
-                    "more": [owner[edges[b] : edges[b + 1]].tobytes() for b in held],
+                    "keys": [packed(keys[a:b], _KEY_BYTES) for a, b in runs], "more": [owner[a:b].tobytes() for a, b in runs],
                 },
                 schema=KEYS,
             )

@@ -30,6 +30,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
@@ -70,20 +71,22 @@ class _Chunk:
         in_cover[list(COVERS[self.period])] = True
         self.samples = starts[in_cover[(starts - origin) % self.period]]
         self.keys, self.key_of, self.times = np.unique(
-            self.prints.of(self.samples, self.samples + self.block), return_inverse=True, return_counts=True
+            self.prints.of(self.samples, self.block), return_inverse=True, return_counts=True
         )
         return self.keys
 
     def documents(self) -> np.ndarray:
-        """Keys of the whole documents that could hold a string of the length."""
-        long_enough = np.flatnonzero(np.diff(self.ends) >= self.length)
-        whole = self.prints.of(self.ends[long_enough], self.ends[long_enough + 1])
-        whole = mixed(whole + np.diff(self.ends)[long_enough].astype(np.uint64))
-        self.docs = long_enough
-        self.doc_keys, self.first_doc, self.doc_key_of, self.doc_times = np.unique(
-            whole, return_index=True, return_inverse=True, return_counts=True
-        )
-        return self.doc_keys
+        """Keys of the whole documents that could hold a string of the length; ``other`` is their second half."""
+        self.docs = np.flatnonzero(np.diff(self.ends) >= self.length)
+        digests = [xxhash.xxh3_128_digest(self.data[self.ends[d] : self.ends[d + 1]]) for d in self.docs]
+        halves = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
+        order, group = groups_of_equal(halves[:, 0], halves[:, 1])
+        self.first_doc = order[np.flatnonzero(np.diff(group, prepend=-1))]
+        self.doc_key_of = np.empty(len(order), dtype=np.int64)
+        self.doc_key_of[order] = group
+        self.doc_times = np.bincount(group, minlength=len(self.first_doc))
+        self.other = halves[self.first_doc, 1]
+        return halves[self.first_doc, 0]
 
     def copies(self, elsewhere: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Documents that occur twice, and those for which another speaks. ``elsewhere``: any, earlier."""
@@ -106,14 +109,14 @@ class _Chunk:
         return starts[(np.cumsum(near)[starts] > 0) & ~quiet[of]]
 
     def suffix_keys(self, starts: np.ndarray) -> np.ndarray:
-        head = self.prints.of(starts, starts + self.period - 1)
-        rank = self.prints.of(starts + self.period - 1, starts + self.length)
+        head = self.prints.of(starts, self.period - 1)
+        rank = self.prints.of(starts + self.period - 1, self.block)
         return mixed(head + rank * np.uint64(3))
 
 
-def _elsewhere(keys: np.ndarray, chunk: np.ndarray, _) -> np.ndarray:
+def _elsewhere(keys: np.ndarray, chunk: np.ndarray, second: np.ndarray | None) -> np.ndarray:
     """Per key: does another chunk have it, and does one with a smaller number."""
-    order, group = groups_of_equal(keys)
+    order, group = groups_of_equal(keys, second)
     counts = np.bincount(group)
     least = np.full(len(counts), np.iinfo(np.int64).max)
     np.minimum.at(least, group, chunk[order])
@@ -144,13 +147,13 @@ def remove_repeats(
 
     def ask_documents(row):
         c = _Chunk(row, length, period)
-        return questions(row["chunk"], c.documents(), n_samples, 8)
+        return questions(row["chunk"], c.documents(), n_samples, 8, c.other)
 
     def any_elsewhere(keys, chunk, more):
         return _elsewhere(keys, chunk, more)[:, :1]
 
     samples = answered(asked(chunks, ask_samples), _SAMPLE_BYTES, any_elsewhere)
-    whole = answered(asked(chunks, ask_documents), 8, _elsewhere)
+    whole = answered(asked(chunks, ask_documents), 8, _elsewhere, "<u8")
     first = stage(
         samples.withColumnRenamed("bits", "samples").join(whole.withColumnRenamed("bits", "whole"), "chunk", "full"), "ranks"
     )

@@ -13,8 +13,8 @@ earlier: in a document with a smaller id, or before it in the same one.
    documents; the windows that are not first are the exact repeats, and their union
    is what is removed.
 
-Keys are 64-bit fingerprints of the words; 4 bytes of a probe are sent, and all 8 of
-a candidate. See ``chunks`` for how buckets and hot windows stay small.
+Probes are 4 bytes of a hash, which may let a window through for nothing. What decides
+a removal is 128 bits: two independent hashes of the words of a window. See ``chunks`` for how buckets and hot windows stay small.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from tarn.llm.chunks import (
     Stretches, answered, asked, bits_of, bucket_count, covered, groups_of_equal, opened, questions, rows_of,
-    spark_schema, split_words, total_bytes, windows, with_answers, write_chunks,
+    spark_schema, split_words, total_bytes, windows, with_answers, word_hashes, write_chunks,
 )
 from tarn.session import stage
 
@@ -38,6 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LENGTH = 20
 _PROBE_BYTES = 4
 _LAST = np.iinfo(np.int64).max  # the place of documents without an id
+_MORE = np.dtype([("other", "<u8"), ("place", "<i8")])
 
 RESULT = pa.schema(
     [("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
@@ -50,8 +51,8 @@ class _Chunk:
     def __init__(self, row: dict, length: int):
         self.data, byte_ends = opened(row)
         self.starts, self.stops, self.ends = split_words(self.data, byte_ends)
-        words = Stretches(self.data).of(self.starts, self.stops)
-        self.prints = Stretches(words)
+        # a probe needs one hash; what decides a removal needs two that know nothing of each other
+        self.prints = Stretches(word_hashes(self.data, self.starts, self.stops))
         self.length, self.block = length, (length + 1) // 2
         self.order = np.array([_LAST if i is None else i for i in row["ids"]], dtype=np.int64)
         self.row = row
@@ -62,7 +63,7 @@ class _Chunk:
     def probes(self) -> np.ndarray:
         """Unique keys of all rolling stretches; ``held``: in how many reference blocks, up to two."""
         self.places = windows(self.ends, self.block)
-        keys, self.key_of = np.unique(self.prints.of(self.places, self.places + self.block), return_inverse=True)
+        keys, self.key_of = np.unique(self.prints.of(self.places, self.block), return_inverse=True)
         self.reference = (self.places - self.ends[self.doc_of(self.places)]) % self.block == 0
         self.held = np.minimum(np.bincount(self.key_of[self.reference], minlength=len(keys)), 2).astype(np.uint8)
         self.keys = keys
@@ -79,15 +80,16 @@ class _Chunk:
         return starts[np.cumsum(near)[starts] > 0]
 
     def window_keys(self, starts: np.ndarray):
-        """Unique keys, the key of each window, and for each key its first window in the order of documents."""
+        """Unique keys in two parts, the key of each window, and for each key its first window in the order of documents."""
         places = self.order[self.doc_of(starts)]
         by_place = np.lexsort((starts, places))
-        keys, first, key_of = np.unique(
-            self.prints.of(starts[by_place], starts[by_place] + self.length), return_index=True, return_inverse=True
-        )
+        second = Stretches(word_hashes(self.data, self.starts, self.stops, 1), 1)
+        keys, others = self.prints.of(starts[by_place], self.length), second.of(starts[by_place], self.length)
+        order, group = groups_of_equal(keys, others)  # stable: the first of a group is first by place
         back = np.empty(len(starts), dtype=np.int64)
-        back[by_place] = key_of
-        return keys, back, by_place[first], places[by_place[first]]
+        back[by_place[order]] = group
+        first = order[np.flatnonzero(np.diff(group, prepend=-1))]
+        return keys[first], others[first], back, by_place[first], places[by_place[first]]
 
 
 def _indexed(keys: np.ndarray, chunk: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -98,13 +100,12 @@ def _indexed(keys: np.ndarray, chunk: np.ndarray, held: np.ndarray) -> np.ndarra
     return out
 
 
-def _earlier(keys: np.ndarray, chunk: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _earlier(keys: np.ndarray, chunk: np.ndarray, more: np.ndarray) -> np.ndarray:
     """Does another chunk have the key at an earlier document; rows with one id are in the order of their chunks."""
-    order = np.lexsort((chunk, place, keys))
+    order = np.lexsort((chunk, more["place"], more["other"], keys))
     out = np.ones((len(keys), 1), dtype=bool)
-    ordered = keys[order]
     first = np.ones(len(keys), dtype=bool)
-    first[1:] = ordered[1:] != ordered[:-1]
+    first[1:] = (keys[order][1:] != keys[order][:-1]) | (more["other"][order][1:] != more["other"][order][:-1])
     out[order[first], 0] = False
     return out
 
@@ -131,12 +132,14 @@ def remove_repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text
         return c, starts, *c.window_keys(starts)
 
     def ask_windows(row):
-        _, _, keys, _, _, places = known(row)
-        return questions(row["chunk"], keys, n_windows, 8, places)
+        _, _, keys, others, _, _, places = known(row)
+        more = np.empty(len(keys), dtype=_MORE)
+        more["other"], more["place"] = others, places
+        return questions(row["chunk"], keys, n_windows, 8, more)
 
     def decide(batches):
         for row in rows_of(batches):
-            c, starts, keys, key_of, first, _ = known(row)
+            c, starts, keys, _, key_of, first, _ = known(row)
             # a window stays if it is the first of its chunk and no other chunk has an earlier one
             repeats = np.ones(len(starts), dtype=bool)
             repeats[first] = bits_of(row["windows"], keys, n_windows, 1)[:, 0]
@@ -152,6 +155,6 @@ def remove_repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_pylist(out, schema=RESULT)
 
     probes = stage(answered(asked(chunks, ask_probes), _PROBE_BYTES, _indexed, "u1").withColumnRenamed("bits", "probes"), "probes")
-    found = answered(asked(with_answers(chunks, probes), ask_windows), 8, _earlier, "<i8").withColumnRenamed("bits", "windows")
+    found = answered(asked(with_answers(chunks, probes), ask_windows), 8, _earlier, _MORE).withColumnRenamed("bits", "windows")
     done = with_answers(chunks, probes.join(found, "chunk", "left")).mapInArrow(decide, spark_schema(RESULT))
     return done.withColumnRenamed("id", id)

@@ -123,13 +123,55 @@ def test_components(spark):
     assert got == {(i, 0) for i in range(41)} | {(100, 100), (101, 100), (103, 100)}
 
 
-def test_buckets_hold_all_keys():
+@pytest.mark.parametrize("buckets", [64, 1024, 1 << 14])
+def test_buckets_hold_all_keys(buckets):
+    """Every key is in the bucket of its leading bits; only buckets that hold any are looked at."""
     keys = np.unique(np.random.default_rng(1).integers(0, 2**64, 5000, dtype=np.uint64))
-    for buckets in (1, 3, 64, 1000):
-        edges = chunks.bucket_edges(keys, buckets)
-        assert edges[0] == 0 and edges[-1] == len(keys)
-        assert all(int(k) * buckets >> 64 == b for b in range(buckets) for k in keys[edges[b] : edges[b + 1]])
+    for some in (keys, keys[:1], keys[:0], np.array([0, 1, 2**64 - 1], dtype=np.uint64)):
+        held, edges = chunks.held_buckets(some, buckets)
+        assert edges[-1] == len(some) and len(held) == len(edges) - 1 <= len(some)
+        assert (np.diff(edges) > 0).all() and (not len(some) or edges[0] == 0)
+        assert all(int(k) * buckets >> 64 == b for b, x, y in zip(held, edges[:-1], edges[1:]) for k in some[x:y])
     assert (chunks.unpacked(chunks.packed(keys, 5), 5) == keys & np.uint64(2**40 - 1)).all()
+    asked = chunks.questions(7, keys, buckets, 6)
+    bits = {b: np.packbits(chunks.unpacked(k, 6) % 2 == 1).tobytes() for b, k in zip(*(asked.column(c).to_pylist() for c in ("bucket", "keys")))}
+    assert (chunks.bits_of(bits, keys, buckets, 1)[:, 0] == (keys % 2 == 1)).all()
+
+
+def doubled(letters: int) -> tuple[str, str]:
+    """A word that doubles itself with a and b swapped, and its complement: sums of powers cannot tell them apart."""
+    word = "a"
+    swap = str.maketrans("ab", "ba")
+    while len(word) < letters:
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+@pytest.mark.parametrize("letters", [512, 1024, 4096])
+def test_structured_words_are_told_apart(spark, letters):
+    one, other = doubled(letters)
+    few = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{few} {one}"), (2, f"{few} {other}"), (3, one), (4, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["n_removed"] for r in remove_repeated_words(docs).collect()] == [0, 0, 0, 0]
+    assert {(r["doc_id"], r["component_id"]) for r in near_copies(docs).collect()} == {(k, k) for k in range(1, 5)}
+    want = [(d, *x) for (d, _), x in zip(rows, repeated_bytes([t for _, t in rows]))]
+    assert key(tuple(r)[:5] for r in remove_repeats(docs).collect()) == key(want)
+
+
+def test_hashes_of_stretches():
+    """Equal stretches agree wherever they stand, others do not, at every size and for both kinds of values."""
+    one, other = doubled(2048)
+    data = np.frombuffer((one + other + one).encode(), dtype=np.uint8)
+    for size in (1, 3, 7, 8, 9, 15, 16, 90, 110, 2048):
+        starts = np.arange(len(data) - size + 1)
+        got = chunks.Stretches(data).of(starts, size)
+        texts = [data[k : k + size].tobytes() for k in starts]
+        assert len(set(got.tolist())) == len(set(texts)) == len(set(zip(got.tolist(), texts)))
+    starts, stops, _ = chunks.split_words(*(lambda d: (d, np.array([0, len(d)])))(np.frombuffer(b"a b a " + one.encode() + b" " + other.encode() + b" b", dtype=np.uint8)))
+    for salt in (0, 1):
+        got = chunks.word_hashes(np.frombuffer(b"a b a " + one.encode() + b" " + other.encode() + b" b", dtype=np.uint8), starts, stops, salt)
+        assert got[0] == got[2] and got[1] == got[5] and len(set(got.tolist())) == 4
 
 
 def test_empty_tables(spark):

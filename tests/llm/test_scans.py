@@ -150,7 +150,8 @@ def test_packing_of_no_documents(spark):
 def test_pipeline(spark, sf):
     """Each stage against what its operator says about the stage before."""
     import corpus_pipeline as pipeline
-    from brute import base_counts, components
+    from brute import base_counts
+    from test_near_stage import groups
 
     from tarn.session import stage
 
@@ -168,7 +169,7 @@ def test_pipeline(spark, sf):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r["text"]), r["doc_id"])
     assert {r["doc_id"] for r in unique.collect()} == set(first.values())
     given = sorted((r["doc_id"], r["text"]) for r in unique.collect())
-    assert {r["doc_id"] for r in single.collect()} == {c for _, _, c in components(given)}
+    assert {r["doc_id"] for r in single.collect()} == {given[k][0] for k in groups([t for _, t in given])}
     times = Counter(r["doc_id"] for r in mixed.collect())
     assert set(times) <= {r["doc_id"] for r in single.collect()} and max(times.values()) <= 2
     assert {r["doc_id"] for r in packed.collect()} == set(times)
