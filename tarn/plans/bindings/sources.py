@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.operators.validate import ingest
 from tarn.plans.bindings.registry import TABLES, events, ntz, query, rounded, table
 from tarn.session import scratch_database, scratch_path
-from tarn.sources import connect, envelopes, files, schemas
+from tarn.sources import connect, envelopes, files, landed, schemas
 from tarn.sources import tables as catalog
+from tarn.streaming.ingest import run_to_files
 
 
 @query(
@@ -367,3 +369,42 @@ def contract_records(spark, sf_dir):
         *[F.lit("x").alias(c) for c in ("product_id", "dataset_namespace", "domain", "layer", "physical_locations")],
     )
     return schemas.contract_violations(records)
+
+
+LANDED_SQL = "SELECT page_id, md5(url) AS url, md5(html) AS html, length(html) AS n FROM pages"
+PAGE = T.StructType(
+    [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]
+)
+
+
+def _land_pages(pages, folder: str) -> None:
+    """Pages as response bodies of some records each, a body per line."""
+    record = F.struct("page_id", "url", "html")
+    bodies = pages.groupBy(F.floor(F.col("page_id") / 25).alias("body")).agg(F.collect_list(record).alias("data"))
+    bodies.select(F.to_json(F.struct("data"), {"ignoreNullFields": "false"})).write.mode("append").text(folder)
+
+
+def _of_pages(records):
+    found = envelopes.record_fields(records, PAGE)
+    digest = lambda c: F.md5(F.col(c).cast("binary")).alias(c)
+    return found.select("page_id", digest("url"), digest("html"), F.length("html").cast("long").alias("n"))
+
+
+@query("ext1_landed_bodies", LANDED_SQL)
+def landed_bodies(spark, sf_dir):
+    """All pages, landed as many response bodies, through the source that plans its own partitions."""
+    folder = scratch_path(spark, "landed")
+    _land_pages(table(spark, sf_dir, "pages").repartition(4), folder)
+    return _of_pages(connect.read_source(spark, "landed", {"path": folder, "partitionBytes": 256 << 10}))
+
+
+@query("ext2_landed_stream", LANDED_SQL)
+def landed_stream(spark, sf_dir):
+    """Pages that land in two drops; each run of the stream takes what landed since the last one."""
+    base, pages = scratch_path(spark, "landing"), table(spark, sf_dir, "pages")
+    for drop in (0, 1):
+        _land_pages(pages.filter(F.pmod("page_id", F.lit(50)) >= 25 if drop else F.pmod("page_id", F.lit(50)) < 25), f"{base}/in")
+        stream = landed.stream_landed(spark, f"{base}/in", ["path", "body"], partitionBytes=256 << 10)
+        run_to_files(stream, f"{base}/out", f"{base}/checkpoint")
+    bodies = spark.read.schema("path string, body string").parquet(f"{base}/out")
+    return _of_pages(envelopes.unwrap_responses(bodies.select("body"), "body"))

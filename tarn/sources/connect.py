@@ -7,8 +7,9 @@ from collections.abc import Callable, Mapping
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tarn.sources import database, envelopes, files
+from tarn.sources import database, envelopes, files, landed
 from tarn.sources.schemas import describe_columns, infer_json_columns
 
 Reader = Callable[[SparkSession, Mapping], DataFrame]
@@ -42,9 +43,16 @@ def _responses(spark: SparkSession, o: Mapping) -> DataFrame:
     return envelopes.unwrap_responses(envelopes.read_documents(spark, o["path"]), "body")
 
 
+def _landed(spark: SparkSession, o: Mapping) -> DataFrame:
+    """Landed bodies, many to a file, as variant records; the source plans its own partitions."""
+    options = {k: v for k, v in o.items() if k != "path"}
+    return envelopes.unwrap_responses(landed.read_landed(spark, o["path"], ["body"], **options), "body")
+
+
 register_reader("filesystem", _filesystem)
 register_reader("s3", _object_store)
 register_reader("rest", _responses)
+register_reader("landed", _landed)
 register_reader("postgres", database.read_database)
 
 
@@ -52,7 +60,7 @@ def discover(spark: SparkSession, kind: str, options: Mapping) -> list[dict]:
     """Columns of a source, from its reader's own inference; ``_raw`` if it cannot be probed."""
     try:
         df = read_source(spark, kind, options)
-        if kind == "rest":
+        if "record" in df.columns and df.schema["record"].dataType == T.VariantType():
             found = infer_json_columns(df.select(F.to_json("record").alias("body")), "body")
             # as many rows as the records have field names
             columns = [
