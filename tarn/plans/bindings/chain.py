@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tarn.operators.series import below_quartile
 from tarn.operators.validate import business_days, ingest, non_negative
 from tarn.plans import gold, silver
 from tarn.plans.bindings.registry import events, query, rounded, table
+from tarn.plans.refresh import Step, refresh
 from tarn.session import scratch_database, stage
 from tarn.sources.schemas import TableSchema, columns
 
@@ -133,3 +136,68 @@ def generation_mix(spark, sf_dir):
     return out.select(F.col("timestamp_hour").cast("timestamp_ntz").alias("timestamp_hour"), "country", entries).withColumn(
         "quantity_mw", rounded("quantity_mw")
     )
+
+
+def hourly_totals(bronze):
+    """Cents and numbers of events per type and hour."""
+    hour = F.date_trunc("hour", "ts")
+    cents = F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")
+    return bronze.groupBy("event_type", hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"), cents).withColumn("day", F.to_date("hour"))
+
+
+def daily_features(hourly):
+    """Per type and day: the mean, the mean of three days up to it, and how many hours lie below the day's quartile."""
+    flagged = below_quartile(hourly.withColumn("mean", F.col("cents") / F.col("n")), ["event_type"], "hour", "mean", "low")
+    daily = flagged.groupBy("event_type", "day").agg(
+        F.sum("n").alias("n"), F.sum("cents").alias("cents"), F.count_if("low").alias("low_hours")
+    )
+    three = Window.partitionBy("event_type").orderBy(F.unix_date("day")).rangeBetween(-2, 0)
+    moving = F.sum("cents").over(three) / F.sum("n").over(three) / 100
+    return daily.select("event_type", "n", (F.col("cents") / F.col("n") / 100).alias("mean"), moving.alias("mean_of_three"), "low_hours", "day")
+
+
+EVENT_STEPS = (Step("hourly", "bronze", hourly_totals), Step("daily", "hourly", daily_features, back=2))
+
+
+def _two_drops(spark, sf_dir) -> str:
+    """Events in two drops: the second has all that is new, and late rows of a few old days."""
+    db, df = scratch_database(spark, "drops"), events(spark, sf_dir)
+    bounds = df.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
+        (F.unix_micros("a") + (F.unix_micros("b") - F.unix_micros("a")) * F.lit(0.8)).cast("long").alias("cut")
+    )
+    cut = bounds.first()["cut"]
+    late = (F.dayofmonth("ts") == 3) & (F.pmod("event_id", F.lit(5)) == 0)
+    second = (F.unix_micros("ts") > cut) | F.coalesce(late, F.lit(False))
+    schema = TableSchema("events", columns(event_id="long", ts="timestamptz", user_id="long", event_type="string", value="double"))
+    steps = [Step(s.table, f"{db}.events" if s.source == "bronze" else s.source, s.compute, s.back) for s in EVENT_STEPS]
+    for day, rows in ((1, df.filter(~second)), (2, df.filter(second))):
+        ingest(rows, "events", schema, dt.datetime(2024, 3, day, tzinfo=dt.UTC), (), db, read_once=False)
+        refresh(spark, f"{db}.events", "ts", steps, db)
+    return db
+
+
+@query(
+    "ref1_incremental_silver",
+    """SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+)
+def incremental_silver(spark, sf_dir):
+    """Hours that two refreshes have made, each from what was new."""
+    hourly = spark.table(f"{_two_drops(spark, sf_dir)}.hourly")
+    return hourly.select("event_type", F.col("hour").cast("timestamp_ntz").alias("hour"), "n", "cents")
+
+
+@query(
+    "ref2_incremental_gold",
+    """WITH hourly AS (SELECT event_type, date_trunc('hour', ts) AS hour, CAST(ts AS DATE) AS day, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents
+        FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+    flagged AS (SELECT *, cents / n < quantile_cont(cents / n, 0.25) OVER (PARTITION BY event_type, day) AS low FROM hourly),
+    daily AS (SELECT event_type, day, CAST(sum(n) AS BIGINT) AS n, sum(cents) AS cents, count(*) FILTER (low) AS low_hours FROM flagged GROUP BY ALL)
+    SELECT event_type, day, n, round(CAST(cents AS DOUBLE) / n / 100, 6) AS mean, low_hours,
+        round(CAST(sum(cents) OVER three AS DOUBLE) / CAST(sum(n) OVER three AS DOUBLE) / 100, 6) AS mean_of_three
+    FROM daily WINDOW three AS (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW)""",
+)
+def incremental_gold(spark, sf_dir):
+    """Days that two refreshes have made; the late rows of the second also change the two days after theirs."""
+    daily = spark.table(f"{_two_drops(spark, sf_dir)}.daily")
+    return daily.select("event_type", "day", "n", rounded("mean").alias("mean"), rounded("mean_of_three").alias("mean_of_three"), "low_hours")

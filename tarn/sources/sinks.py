@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def with_lineage(df: DataFrame, source: str, batch_ts: dt.datetime) -> DataFrame
 
 def _rebalanced(df: DataFrame, partition: str | None) -> DataFrame:
     """Even output files: small partitions are merged, a day holding most rows is split."""
-    return df.hint("rebalance", partition) if partition else df.hint("rebalance")
+    return df.hint("rebalance", f"`{partition}`") if partition else df.hint("rebalance")
 
 
 def append_table(df: DataFrame, namespace: str, table: str, schema: TableSchema) -> None:
@@ -52,27 +53,146 @@ def overwrite_table(
 
     The new content goes to a folder of its own and the table is then pointed
     at it, so the input may be read from the table it replaces, nothing is
-    written twice, and a run that fails leaves the old content in place. Old
-    folders stay until a retention job removes them.
+    written twice, and a run that fails before that leaves the old content in place. A
+    partitioned table has its partitions pointed at the new content one by one, each at
+    once, and loses those that are not there any more: it is never absent, but a reader
+    may meet new partitions beside old ones. Only a table with other columns than before
+    is made anew. Old folders stay until ``drop_old_versions``.
     """
     spark, name = df.sparkSession, f"{namespace}.{table}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-    base = spark.catalog.getDatabase(namespace).locationUri.rstrip("/")
-    path = f"{base}/{table}_versions/{uuid.uuid4().hex}"
+    path = _version_path(spark, namespace, table)
     writer = _rebalanced(df, partition_by[0] if partition_by else None).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     if spark.catalog.tableExists(name):
-        if not partition_by and spark.table(name).dtypes == df.dtypes:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        if _same_layout(spark, name, df, partition_by):
+            if partition_by:
+                _point_partitions(spark, name, _written_partitions(spark, df, path, partition_by), drop_others=True)
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(path)}")
             return
         spark.sql(f"DROP TABLE {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    layout = "PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")" if partition_by else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
         spark.catalog.recoverPartitions(name)
 
 
+def replace_partitions(df: DataFrame, namespace: str, table: str, partition_by: str, values: Sequence) -> None:
+    """Replace the partitions of ``values`` (days, numbers or texts) with the rows of ``df``, which has no others.
+
+    The rows are written beside the table; each partition is then pointed at its new
+    folder, which is one step. Of the values without rows the partition goes. Other
+    partitions are neither read nor written.
+    """
+    spark, name = df.sparkSession, f"{namespace}.{table}"
+    if not spark.catalog.tableExists(name):
+        overwrite_table(df, namespace, table, [partition_by])
+        return
+    if not _same_layout(spark, name, df, [partition_by]):
+        raise ValueError(f"{name} has other columns or partitions")
+    path = _version_path(spark, namespace, table)
+    _rebalanced(df, partition_by).write.partitionBy(partition_by).parquet(path)
+    written = _written_partitions(spark, df, path, [partition_by])
+    gone = [[v] for v in values if (str(v),) not in {tuple(map(str, p)) for p, _ in written}]
+    _point_partitions(spark, name, written, gone)
+
+
+def drop_old_versions(spark: SparkSession, namespace: str, table: str) -> list[str]:
+    """Delete the folders of earlier versions that neither the table nor a partition points at; their paths.
+
+    To be run when nobody reads or writes the table: a reader may still use an old version, and a
+    version that is being written is not pointed at yet.
+    """
+    name = f"{namespace}.{table}"
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    used = {described["Location"]}
+    columns = spark.catalog.listColumns(name)
+    if any(c.isPartition for c in columns):
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            used.add(_location(spark, name, row["partition"]))
+    base = spark._jvm.org.apache.hadoop.fs.Path(_versions(spark, namespace, table))
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.listStatus(base) if files.exists(base) else []:
+        folder = status.getPath()
+        if not any(_below(u, folder.getName()) for u in used):
+            files.delete(folder, True)
+            gone.append(folder.toString())
+    return gone
+
+
+def _below(location: str, version: str) -> bool:
+    return version in location.rstrip("/").split("/")
+
+
+def _versions(spark: SparkSession, namespace: str, table: str) -> str:
+    return f"{spark.catalog.getDatabase(namespace).locationUri.rstrip('/')}/{table}_versions"
+
+
+def _version_path(spark: SparkSession, namespace: str, table: str) -> str:
+    return f"{_versions(spark, namespace, table)}/{uuid.uuid4().hex}"
+
+
+def _same_layout(spark: SparkSession, name: str, df: DataFrame, partition_by: Sequence[str]) -> bool:
+    """Whether the table has the columns of ``df`` and is partitioned by ``partition_by``."""
+    held = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    # partition columns stand last in a table
+    ordered = [*[c for c in df.columns if c not in partition_by], *partition_by]
+    return held == list(partition_by) and spark.table(name).dtypes == df.select(*[F.col(f"`{c}`") for c in ordered]).dtypes
+
+
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _written_partitions(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str]) -> list[tuple[list, str]]:
+    """Values and folders of the partitions below ``path``; one row per partition comes to the driver, from file footers."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    read = spark.read.schema(df.schema).option("basePath", path).parquet(path)
+    values = [F.col(f"`{c}`").cast("string").alias(f"v{k}") for k, c in enumerate(partition_by)]
+    found = read.select(*values, folder.alias("folder")).distinct().collect()
+    return [([r[f"v{k}"] for k in range(len(partition_by))], unquote(r["folder"])) for r in found]
+
+
+def _spec(spark: SparkSession, name: str, values: Sequence) -> str:
+    names = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return ", ".join(f"`{n}` = {_literal(v)}" for n, v in zip(names, values))
+
+
+def _location(spark: SparkSession, name: str, shown: str) -> str:
+    spec = ", ".join(f"`{k}` = {_literal(unquote(v))}" for k, _, v in (part.partition("=") for part in shown.split("/")))
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def _point_partitions(
+    spark: SparkSession, name: str, written: list[tuple[list, str]], gone: Sequence[Sequence] = (), drop_others: bool = False
+) -> None:
+    shown = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    names = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    held = {tuple(unquote(part.partition("=")[2]) for part in s.split("/")) for s in shown}
+    for values, folder in written:
+        spec = _spec(spark, name, values)
+        if tuple(_shown(v) for v in values) in held:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(folder)}")
+        else:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_literal(folder)}")
+    kept = {tuple(_shown(v) for v in values) for values, _ in written}
+    others = [h for h in held if h not in kept] if drop_others else [g for g in (tuple(_shown(v) for v in g) for g in gone) if g in held]
+    for values in others:
+        spec = ", ".join(f"`{n}` = {_literal(None if v == _NO_VALUE else v)}" for n, v in zip(names, values))
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+
+
+# fixed value: how Spark names the partition of null
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _shown(value) -> str:
+    return _NO_VALUE if value is None else str(value)
+
+
 def rejected_rows(
     df: DataFrame, source: str, batch_ts: dt.datetime, reason: str = "rejection_reason"
 ) -> DataFrame:
