@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from tarn.operators import ranges, sketches
 from tarn.operators.joins import asof_join
 from tarn.operators.scans import exact_quantiles
+from tarn.operators.validate import ingest
 from tarn.plans.bindings.registry import events, orders, query, rounded, table
+from tarn.plans.refresh import Step, refresh
+from tarn.session import scratch_database, stage
+from tarn.sources.schemas import TableSchema, columns
 from tarn.sources.tables import run_sql
 
 
@@ -53,30 +60,28 @@ _register_joins()
     FROM bands JOIN customer ON c_acctbal BETWEEN low AND high GROUP BY s_nationkey""",
 )
 def range_join(spark, sf_dir):
-    """Customers inside the balance band of each nation's suppliers.
-
-    Balances are cut into bins of 250; a band takes whole bins from a running
-    total over bins and compares single customers only in the two bins at its
-    ends, so the join emits no pair for what lies between.
-    """
-    width = 250
+    """Customers inside the balance band of each nation's suppliers, by running totals."""
     bands = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(
         F.min("s_acctbal").alias("low"), F.max("s_acctbal").alias("high")
     )
-    bin_of = lambda c: F.floor(F.col(c) / width).cast("long")
-    customers = table(spark, sf_dir, "customer").select("c_acctbal", bin_of("c_acctbal").alias("bin"))
-    totals = customers.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("c_acctbal").alias("s"))
-    spans = bands.select("s_nationkey", "low", "high", bin_of("low").alias("first"), bin_of("high").alias("last"))
-    inner = spans.filter("last - first > 1").select(
-        "s_nationkey", F.explode(F.sequence(F.col("first") + 1, F.col("last") - 1)).alias("bin")
-    )
-    whole = inner.join(totals, "bin").select("s_nationkey", "n", "s")
-    ends = spans.select("s_nationkey", "low", "high", F.explode(F.array_distinct(F.array("first", "last"))).alias("bin"))
-    edge = ends.join(customers, "bin").filter(F.col("c_acctbal").between(F.col("low"), F.col("high")))
-    parts = whole.unionByName(edge.select("s_nationkey", F.lit(1).cast("long").alias("n"), F.col("c_acctbal").alias("s")))
-    return parts.groupBy("s_nationkey").agg(
-        F.sum("n").alias("customers"), rounded(F.sum("s"), 2).alias("balance")
+    cents = F.round(F.col("c_acctbal") * 100).cast("long")
+    customers = table(spark, sf_dir, "customer")
+    out = ranges.range_totals(bands, customers, "low", "high", "c_acctbal", {"customers": F.lit(1).cast("long"), "cents": cents})
+    return out.filter("customers > 0").select("s_nationkey", "customers", rounded(F.col("cents") / 100, 2).alias("balance"))
+
+
+@query(
+    "sql2_range_pairs",
+    """SELECT s_suppkey, c_custkey, s_nationkey FROM supplier JOIN customer
+        ON c_nationkey = s_nationkey AND c_acctbal BETWEEN s_acctbal - 200 AND s_acctbal + 200""",
+)
+def range_pairs(spark, sf_dir):
+    """Suppliers with the customers of their nation whose balance is near theirs."""
+    bands = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_nationkey", F.col("s_nationkey").alias("nation"), (F.col("s_acctbal") - 200).alias("low"), (F.col("s_acctbal") + 200).alias("high")
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal")
+    return ranges.range_join(bands, customers, "low", "high", "c_acctbal", ["nation"]).select("s_suppkey", "c_custkey", "s_nationkey")
 
 
 @query(
@@ -256,3 +261,35 @@ def approximate(spark, sf_dir):
         near("parts_about", "parts").alias("parts_near"),
         near("median_about", "median").alias("median_near"),
     )
+
+
+MONTHLY = """SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS n, true AS users_near, true AS median_near, true AS tail_near
+    FROM events WHERE ts IS NOT NULL GROUP BY ALL"""
+
+
+@query("sql15_stored_sketches", MONTHLY)
+def stored_sketches(spark, sf_dir):
+    """Distinct users and quantiles by month, merged from a table of daily states that two refreshes have filled.
+
+    A distinct count must be within three standard errors, a quantile within three rank errors of its sketch.
+    """
+    db, df = scratch_database(spark, "sketches"), events(spark, sf_dir)
+    schema = TableSchema("events", columns(event_id="long", ts="timestamptz", user_id="long", event_type="string", value="double"))
+    step = Step("event_states", f"{db}.events", lambda rows: sketches.daily_states(rows, ["event_type"], "ts", ["user_id"], ["value"]))
+    for drop in (0, 1):
+        new = df.filter(F.pmod(F.dayofmonth("ts"), F.lit(2)) == drop) if drop else df.filter("ts IS NULL OR pmod(dayofmonth(ts), 2) = 0")
+        ingest(new, "events", schema, dt.datetime(2024, 3, 1 + drop, tzinfo=dt.UTC), (), db, read_once=False)
+        refresh(spark, f"{db}.events", "ts", [step], db)
+    monthly = stage(sketches.merged_states(spark.table(f"{db}.event_states"), ["event_type"], "month"), "monthly")
+    about = monthly.select(
+        "event_type", F.col("day").alias("month"), "n", sketches.distinct_count("user_id").alias("users_about"),
+        sketches.quantile("value", 0.5).alias("median_about"), sketches.quantile("value", 0.95).alias("tail_about"),
+    )
+    exact = df.withColumn("month", F.to_date(F.date_trunc("month", "ts")))
+    users = exact.groupBy("event_type", "month").agg(F.count_distinct("user_id").alias("users"))
+    error = 3 * 0.0173  # of a rank, at the size of the states
+    bounds = {f"{name}_{side}": min(1.0, max(0.0, q + sign * error)) for name, q in (("median", 0.5), ("tail", 0.95)) for side, sign in (("low", -1), ("high", 1))}
+    near = lambda name: F.col(f"{name}_about").between(F.col(f"{name}_low"), F.col(f"{name}_high")).alias(f"{name}_near")
+    joined = about.join(users, ["event_type", "month"]).join(exact_quantiles(exact, ["event_type", "month"], "value", bounds), ["event_type", "month"])
+    near_users = F.abs(F.col("users_about") - F.col("users")) <= F.greatest(F.lit(1), F.col("users") * 3 * 0.0163)
+    return joined.select("event_type", "month", "n", near_users.alias("users_near"), near("median"), near("tail"))
