@@ -36,8 +36,13 @@ def normalised(name: Column | str) -> Column:
 def lookup_name(
     facts: DataFrame, dim: DataFrame, name: str, dim_name: str, value: str, out: str
 ) -> DataFrame:
-    """Attribute by normalised name; unknown names give null."""
-    side = dim.select(normalised(F.col(dim_name)).alias("_name"), F.col(value).alias(out))
+    """Attribute by normalised name; unknown names give null.
+
+    Of dimension rows whose names normalise alike one counts: one with a value before one
+    without, then the first name in text order, then the smallest value.
+    """
+    first = F.min(F.struct(F.isnull(F.col(value)).alias("none"), F.col(dim_name).alias("name"), F.col(value).alias("value")))
+    side = dim.groupBy(normalised(F.col(dim_name)).alias("_name")).agg(first.getField("value").alias(out))
     return dimension_join(
         facts.withColumn("_name", normalised(F.col(name))), side, ["_name"]
     ).drop("_name")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,36 +42,26 @@ def lineage_records(
     )
 
 
-def upstream_chain(
-    edges: DataFrame, child: str, parent: str, staged_every: int = 4
-) -> DataFrame:
+def upstream_chain(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """Every upstream dataset of each dataset with its smallest distance.
 
-    A breadth-first search over all datasets at once: each level is one
-    equi-join of the newly found pairs with the edges, minus the pairs seen
-    before, so cycles end, and the search ends with the first empty level. Lineage is
-    cut by writing the levels.
+    The reach doubles each round: a shortest path longer than h steps is one of h steps
+    and a shortest path behind it. So with all pairs up to a distance h known, those at
+    exactly h are joined with all, which gives the pairs up to 2 h. A chain of d steps takes
+    about log2 d rounds; pairs that are known are dropped, so cycles end. A round is
+    written, which cuts its lineage.
     """
-    edges = stage(edges.select(F.col(child).alias("c"), F.col(parent).alias("p")).dropna().distinct(), "edges")
-    level = edges.select(F.col("c").alias("dataset"), F.col("p").alias("upstream"))
-    level = stage(level.withColumn("depth", F.lit(1)), "chain")
-    seen = level
-    for depth in count(2):
-        step = edges.select(F.col("c").alias("upstream"), F.col("p").alias("_next"))
-        found = (
-            level.select("dataset", "upstream")
-            .join(step, "upstream")
-            .select("dataset", F.col("_next").alias("upstream"))
-            .distinct()
-            .join(seen.select("dataset", "upstream"), ["dataset", "upstream"], "left_anti")
-        )
-        level = stage(found.withColumn("depth", F.lit(depth)), "chain")
-        if level.isEmpty():
-            break
-        seen = seen.unionByName(level)
-        if depth % staged_every == 0:
-            seen = stage(seen, "chain")
-    return seen
+    first = edges.select(F.col(child).alias("dataset"), F.col(parent).alias("upstream")).dropna().distinct()
+    seen = stage(first.withColumn("depth", F.lit(1)), "chain")
+    half = 1
+    while True:
+        far = seen.filter(F.col("depth") == half).select("dataset", F.col("upstream").alias("_mid"), F.col("depth").alias("_far"))
+        behind = seen.select(F.col("dataset").alias("_mid"), "upstream", F.col("depth").alias("_more"))
+        found = far.join(behind, "_mid").groupBy("dataset", "upstream").agg(F.min(F.col("_far") + F.col("_more")).alias("depth"))
+        found = stage(found.join(seen.select("dataset", "upstream"), ["dataset", "upstream"], "left_anti"), "chain")
+        if found.isEmpty():
+            return seen
+        seen, half = seen.unionByName(found), 2 * half
 
 
 def original_sources(chain: DataFrame, edges: DataFrame, child: str) -> DataFrame:

@@ -91,16 +91,12 @@ def chunk(df: DataFrame, keys: Sequence[str], text: str, size: int = 500, overla
     stride = size - overlap
     length = F.length(text)
     last = F.greatest(F.lit(0), F.ceil((length - F.lit(size)) / F.lit(stride))).cast("int")
-    return (
-        df.filter(length > 0)
-        .select(*keys, text, F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-        .withColumn("start", F.col("chunk_no") * stride)
-        .withColumn("end", F.least(F.col("start") + size, length))
-        .select(
-            *keys,
-            "chunk_no",
-            "start",
-            "end",
-            F.substring(F.col(text), F.col("start") + 1, F.col("end") - F.col("start")).alias("chunk"),
-        )
+    # the text is cut once; a chunk is a piece and as much of those behind it as it overlaps
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
+    behind = -(-overlap // stride) + 1
+    cut = df.filter(length > 0).select(*keys, length.alias("_length"), F.sequence(F.lit(0), last).alias("_numbers"), pieces.alias("_pieces"))
+    chunks = F.transform("_numbers", lambda k: F.substring(F.array_join(F.slice("_pieces", k + 1, F.lit(behind)), ""), 1, size))
+    start = F.col("chunk_no") * stride
+    return cut.select(*keys, "_length", F.posexplode(chunks).alias("chunk_no", "chunk")).select(
+        *keys, "chunk_no", start.alias("start"), F.least(start + size, F.col("_length")).alias("end"), "chunk"
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Window
 
 from tarn.functions.skew import salted_join
 from tarn.sources.schemas import LINEAGE, PARTITION_COLUMN, TABLE_TYPES, TableSchema, apply_schema, describe_columns
-from tarn.sources.sinks import REJECTED_TABLE, append_table, with_lineage, write_rejected
+from tarn.sources.sinks import REJECTED_DAY, REJECTED_TABLE, append_table, with_lineage, write_rejected
 
 REASON = "rejection_reason"
 
@@ -137,7 +137,7 @@ def ingest(
         if not stored:
             append_table(counted, namespace, source, schema.bronze())
             stored = seen.get["valid"]
-        held = _stored(spark, f"{namespace}.{REJECTED_TABLE}", batch_ts, "source", source, "_ingested_at")
+        held = _stored(spark, f"{namespace}.{REJECTED_TABLE}", batch_ts, "source", source, "_ingested_at", REJECTED_DAY)
         if not held:
             held = write_rejected(tagged.filter(F.col(REASON).isNotNull()), namespace, source, batch_ts)
         return {"valid": stored, "rejected": held}

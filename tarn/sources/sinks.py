@@ -14,6 +14,7 @@ from tarn.session import stage
 from tarn.sources.schemas import PARTITION_COLUMN, TableSchema, apply_schema
 
 REJECTED_TABLE = "rejected_records"
+REJECTED_DAY = "ingested_day"  # its partitions
 
 
 def with_lineage(df: DataFrame, source: str, batch_ts: dt.datetime) -> DataFrame:
@@ -215,7 +216,7 @@ def write_rejected(
     batch_ts: dt.datetime,
     reason: str = "rejection_reason",
 ) -> int:
-    """Append rejected records to the quarantine table and return their number.
+    """Append rejected records to the quarantine table, by day, and return their number.
 
     Every record needs a reason that is not blank. No records: no table.
     """
@@ -226,9 +227,8 @@ def write_rejected(
     if found["n"]:
         spark = df.sparkSession
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-        rejected_rows(df, source, batch_ts, reason).write.mode("append").format(
-            "parquet"
-        ).saveAsTable(f"{namespace}.{REJECTED_TABLE}")
+        dated = rejected_rows(df, source, batch_ts, reason).withColumn(REJECTED_DAY, F.to_date("_ingested_at"))
+        dated.write.mode("append").format("parquet").partitionBy(REJECTED_DAY).saveAsTable(f"{namespace}.{REJECTED_TABLE}")
     return found["n"]
 
 

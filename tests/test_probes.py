@@ -113,7 +113,7 @@ def test_rules_on_names_with_dots(spark):
 
 def test_deep_lineage(spark):
     edges = spark.createDataFrame([(f"d{i}", f"d{i + 1}") for i in range(55)], "c string, p string")
-    chain = lineage.upstream_chain(edges, "c", "p", staged_every=8)
+    chain = lineage.upstream_chain(edges, "c", "p")
     assert chain.filter("dataset = 'd0'").agg({"depth": "max"}).first()[0] == 55
 
 
@@ -179,3 +179,68 @@ def test_cheap_hours_equal_a_window_over_the_rows(spark, per_instance):
     grain = ["country", "timestamp_hour", "model_name", "accelerator"]
     assert cost.count() == cost.select(*grain).distinct().count() == 60 + 10 + 5
     assert cost.filter("country = 'ES' and price_eur_per_hour != 1.0").isEmpty()
+
+
+def test_names_that_normalise_alike_count_once(spark):
+    from tarn.operators.joins import lookup_name
+
+    dim = spark.createDataFrame([("H100  SXM", None), ("h100 sxm", 700), ("H100 SXM", 650), ("a100", 400), (None, 1)], "name string, watts int")
+    facts = spark.createDataFrame([(1, " h100 Sxm"), (2, "A100"), (3, "x"), (4, None)], "id int, device string")
+    assert rows(lookup_name(facts, dim, "device", "name", "watts", "watts"), "id", "watts") == [(1, 650), (2, 400), (3, None), (4, None)]
+
+
+@pytest.mark.parametrize("size,overlap", [(5, 0), (5, 2), (5, 4), (7, 5), (1, 0), (100, 50)])
+def test_chunks_are_slices(spark, size, overlap):
+    """Chunks cut from one pass over the text: line ends, signs beyond 16 bits, overlaps longer than the stride."""
+    from tarn.operators.text import chunk
+
+    texts = ["abcdefghijklmnopqrstuvwxyz", "a\nb\r\nc d", "🙂é🙃 x🙂", "abcde", "a", "", None, "x" * 203]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = []
+    for k, t in enumerate(texts):
+        n = 0
+        while t:
+            start = n * (size - overlap)
+            want.append((k, n, start, min(start + size, len(t)), t[start : start + size]))
+            if start + size >= len(t):
+                break
+            n += 1
+    assert rows(chunk(df, ["id"], "text", size, overlap)) == sorted(want, key=repr)
+
+
+def test_quarantine_is_kept_by_day(spark):
+    import datetime as dt
+
+    from tarn.operators.validate import ingest, non_negative
+    from tarn.session import scratch_database
+    from tarn.sources.schemas import TableSchema, columns
+
+    db = scratch_database(spark, "days")
+    raw = spark.createDataFrame([(1, -1.0), (2, 1.0)], "id long, v double")
+    for day in (1, 2, 2):
+        ingest(raw, "t", TableSchema("t", columns(id="long", v="double")), dt.datetime(2024, 3, day, tzinfo=dt.UTC), [non_negative("v")], db)
+    shown = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {db}.rejected_records").collect()}
+    assert shown == {"ingested_day=2024-03-01", "ingested_day=2024-03-02"} and spark.table(f"{db}.rejected_records").count() == 2
+
+
+def test_reach_doubles(spark, monkeypatch):
+    """A chain of 200 steps in at most nine rounds, and smallest distances in a graph with cycles and shortcuts."""
+    import random
+
+    rounds, kept = [], lineage.stage
+    monkeypatch.setattr(lineage, "stage", lambda df, label: (rounds.append(label), kept(df, label))[1])
+    chain = spark.createDataFrame([(k, k + 1) for k in range(200)], "c int, p int")
+    assert rows(lineage.upstream_chain(chain, "c", "p")) == sorted([(a, b, b - a) for a in range(200) for b in range(a + 1, 201)], key=repr)
+    assert len(rounds) <= 9 + 1
+    pick = random.Random(9)
+    edges = {(pick.randrange(30), pick.randrange(30)) for _ in range(45)}
+    want = {}
+    for start in range(30):
+        level, depth, found = {start}, 0, {}
+        while level:
+            depth += 1
+            level = {p for c, p in edges if c in level} - set(found)
+            found.update(dict.fromkeys(level, depth))
+        want.update({(start, p): d for p, d in found.items()})
+    got = lineage.upstream_chain(spark.createDataFrame([*edges, (None, 1), (1, None)], "c int, p int"), "c", "p")
+    assert {(r["dataset"], r["upstream"]): r["depth"] for r in got.collect()} == want

@@ -243,7 +243,7 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 
 def test_chain_ends_on_cycles(spark):
     edges = spark.createDataFrame([("gold", "silver"), ("silver", "bronze"), ("a", "b"), ("b", "a"), ("gold", "bronze")], "c string, p string")
-    chain = lineage.upstream_chain(edges, "c", "p", staged_every=1)
+    chain = lineage.upstream_chain(edges, "c", "p")
     assert rows(chain) == [
         ("a", "a", 2), ("a", "b", 1), ("b", "a", 1), ("b", "b", 2),
         ("gold", "bronze", 1), ("gold", "silver", 1), ("silver", "bronze", 1),
