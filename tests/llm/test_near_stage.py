@@ -79,3 +79,31 @@ def test_range_keys_meet(percent):
             if n >= 1000:
                 other = np.sort(pool[2 * n : 3 * n])
                 assert not set(jaccard._range_keys(a, percent).tolist()) & set(jaccard._range_keys(other, percent).tolist())
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_outlines_never_drop_a_link(percent):
+    """Of sets around the bound all that link stay partners, in one block and in two; strangers are none."""
+    pick = np.random.default_rng(8)
+    dropped = strangers = 0
+    for n in [*range(1, 40), 100, 333, 1000]:
+        pool = np.unique(pick.integers(0, 2**64, 4 * n + 40, dtype=np.uint64))
+        pick.shuffle(pool)
+        sets = [np.sort(pool[:n])]
+        for _ in range(8):
+            lost, more = (int(x) for x in pick.integers(0, n * (100 - percent) // 80 + 2, 2))
+            sets.append(np.sort(np.concatenate([pool[min(lost, n - 1) : n], pool[n : n + more]])))
+        sets.append(np.sort(pool[3 * n : 4 * n]))
+        rows = [(len(s), *jaccard._outline(s, percent)) for s in sets]
+        linked = np.zeros((len(sets), len(sets)), dtype=bool)
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                shared = len(np.intersect1d(a, b))
+                linked[i, j] = i != j and 100 * shared >= percent * (len(a) + len(b) - shared)
+        together, _ = jaccard._partners(rows, None, percent)
+        assert not (linked.any(axis=1) & ~together).any()
+        left, right = jaccard._partners(rows[:4], rows[4:], percent)
+        assert not (linked[:4, 4:].any(axis=1) & ~left).any() and not (linked[:4, 4:].any(axis=0) & ~right).any()
+        if n >= 100:
+            strangers, dropped = strangers + 1, dropped + (not together[-1])
+    assert dropped == strangers > 0
