@@ -5,11 +5,12 @@ and the longest fitting rule decides. URLs that no rule decides are judged by tw
 smoothed variable-order Markov models over the characters of host and path, one of
 the accepted and one of the rejected URLs, both counted over all URLs that a rule
 decides. A URL's score is the difference of its two log-likelihoods divided by its
-length. The cutoff is calibrated on the hosts that were held out of the counts.
+length. The cutoff is calibrated by folds of hosts: each decided URL is scored with the
+counts of all folds but its host's. The URLs that are judged are scored with all counts.
 
 Characters are first mapped to an alphabet of 40, so there are at most 40 to the
-power of order + 1 strings to count: that bounds the model table for any input,
-and it is broadcast to the URLs.
+power of order + 1 strings to count, for each fold left out and for none: that bounds
+the model table for any input. It is counted, and broadcast to the URLs if it is small.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import column
+from tarn.llm.common import column, small_join
 from tarn.session import stage
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789./-"
@@ -25,7 +26,8 @@ OTHER = "?"
 START = "^"  # counted as a context only
 ORDER = 3
 SMOOTHING = 4.0
-HELD_OUT = 5  # one host in so many calibrates the cutoff
+FOLDS = 5  # of hosts, to calibrate the cutoff
+ALL = -1  # the model that leaves no fold out
 BINS, REACH = 400, 4.0
 
 # verdict, host, start of the path
@@ -72,41 +74,53 @@ def _grams(urls: DataFrame, order: int) -> DataFrame:
     return urls.withColumn("_at", F.explode(starts)).withColumn("_gram", F.substring(padded, F.col("_at"), order + 1)).drop("_at")
 
 
-def markov_ratio(grams: DataFrame, order: int = ORDER, smoothing: float = SMOOTHING) -> DataFrame:
+def markov_ratio(grams: DataFrame, order: int = ORDER, smoothing: float = SMOOTHING, keys: tuple[str, ...] = ()) -> DataFrame:
     """log p_accepted - log p_rejected of the last character of every string, given those before.
 
-    ``grams`` has ``_gram`` (order + 1 characters), ``accepted`` and ``rejected`` counts.
-    The estimate of a context is mixed with that of the context one shorter, with the
-    weight ``smoothing`` against the context's own count; without any context stands
-    an even spread over the alphabet.
+    ``grams`` has ``_gram`` (order + 1 characters), ``accepted`` and ``rejected`` counts; a model
+    is made for each value of ``keys``. The estimate of a context is mixed with that of the
+    context one shorter, with the weight ``smoothing`` against the context's own count; without
+    any context stands an even spread over the alphabet.
     """
     classes = ("accepted", "rejected")
     sums = [F.sum(c).alias(c) for c in classes]
     levels = None
     for length in range(1, order + 2):
-        counts = grams.groupBy(F.expr(f"right(_gram, {length})").alias("_tail")).agg(*sums)
+        counts = grams.groupBy(*keys, F.expr(f"right(_gram, {length})").alias("_tail")).agg(*sums)
         # the context's count, which is the sum over its next characters
         context = F.expr(f"left(_tail, {length - 1})")
-        totals = counts.groupBy(context.alias("_context")).agg(*[F.sum(c).alias(f"{c}_all") for c in classes])
-        joined = counts.withColumn("_context", context).join(totals, "_context")
+        totals = counts.groupBy(*keys, context.alias("_context")).agg(*[F.sum(c).alias(f"{c}_all") for c in classes])
+        joined = counts.withColumn("_context", context).join(totals, [*keys, "_context"])
         if levels is None:
             even = F.lit(1.0 / (len(LETTERS) + 1))
             shorter = {c: even for c in classes}
         else:
-            joined = joined.withColumn("_shorter", F.expr(f"right(_tail, {length - 1})")).join(levels, "_shorter")
+            joined = joined.withColumn("_shorter", F.expr(f"right(_tail, {length - 1})")).join(levels, [*keys, "_shorter"])
             shorter = {c: F.col(f"p_{c}") for c in classes}
         # stage by stage, so that a level is computed once; the tables have a bound
         levels = joined.select(
-            F.col("_tail").alias("_shorter"),
+            *keys, F.col("_tail").alias("_shorter"),
             *[((F.col(c) + smoothing * shorter[c]) / (F.col(f"{c}_all") + smoothing)).alias(f"p_{c}") for c in classes],
         )
         levels = stage(levels, "markov")
     ratio = F.log("p_accepted") - F.log("p_rejected")
-    return levels.select(F.col("_shorter").alias("_gram"), ratio.alias("_ratio"))
+    return levels.select(*keys, F.col("_shorter").alias("_gram"), ratio.alias("_ratio"))
+
+
+def _models(grams: DataFrame) -> DataFrame:
+    """``_gram``, ``_model``, ``accepted`` and ``rejected``: counts of all decided URLs, and without each fold of hosts."""
+    classes = ("accepted", "rejected")
+    pages = {"accepted": F.when(F.col("_label") == "allow", F.col("_pages")), "rejected": F.when(F.col("_label") == "block", F.col("_pages"))}
+    per_fold = [F.coalesce(F.sum(F.when(F.col("_fold") == f, pages[c])), F.lit(0)).alias(f"{c}{f}") for c in classes for f in range(FOLDS)]
+    counts = grams.groupBy("_gram").agg(*per_fold)
+    total = {c: sum((F.col(f"{c}{f}") for f in range(FOLDS)), F.lit(0)) for c in classes}
+    models = [F.struct(F.lit(ALL).alias("_model"), *[total[c].alias(c) for c in classes])]
+    models += [F.struct(F.lit(f).alias("_model"), *[(total[c] - F.col(f"{c}{f}")).alias(c) for c in classes]) for f in range(FOLDS)]
+    return counts.select("_gram", F.explode(F.array(*models)).alias("_m")).select("_gram", "_m.*")
 
 
 def _calibrated(held: DataFrame) -> float:
-    """The cutoff with the best balanced accuracy on held-out URLs, from a histogram of their scores.
+    """The cutoff with the best balanced accuracy on decided URLs, from a histogram of their scores.
 
     Scores are counted in a fixed number of bins. Without both classes the cutoff is 0.
     """
@@ -140,7 +154,8 @@ def filter_urls(
 
     A null URL and one without ``://`` have an empty host and path, score 0 and are
     judged by the cutoff like others. Repeated URLs get equal verdicts. Without
-    decided URLs all scores are 0 and the rest is allowed.
+    decided URLs all scores are 0 and the rest is allowed. An empty table gives an empty
+    result; other columns are not read.
     """
     host, path = host_and_path(column(url))
     parsed = pages.select(column(id).alias("_id"), host.alias("_host"), path.alias("_path"))
@@ -149,28 +164,18 @@ def filter_urls(
     urls = stage(
         parsed.groupBy("_host", "_path", "_rule").agg(F.count(F.lit(1)).alias("_pages")).select(
             "_host", "_path", F.col("_rule.verdict").alias("_label"), "_pages",
-            (F.pmod(F.xxhash64("_host"), F.lit(HELD_OUT)) == 0).alias("_held"),
+            F.pmod(F.xxhash64("_host"), F.lit(FOLDS)).cast("int").alias("_fold"),
             _spelled(F.col("_host"), F.col("_path")).alias("_text"),
         ),
         "urls",
     )
-    grams = _grams(urls, order)
-    fit = F.when(~F.col("_held"), F.col("_pages")).otherwise(0)
-    counts = stage(
-        grams.groupBy("_gram").agg(
-            F.sum(F.when(F.col("_label") == "allow", fit).otherwise(0)).alias("accepted"),
-            F.sum(F.when(F.col("_label") == "block", fit).otherwise(0)).alias("rejected"),
-        ),
-        "grams",
-    )
-    ratios = stage(markov_ratio(counts, order, smoothing), "ratios")
-    # at most 40 ** (order + 1) rows, whatever the input
-    scores = grams.join(F.broadcast(ratios), "_gram").groupBy("_host", "_path").agg(
-        F.round(F.avg("_ratio"), 6).alias("_score"), F.first("_label").alias("_label"),
-        F.first("_held").alias("_held"), F.first("_pages").alias("_pages"),
+    grams = _grams(urls, order).withColumn("_model", F.when(F.col("_label").isNull(), F.lit(ALL)).otherwise(F.col("_fold")))
+    ratios = stage(markov_ratio(stage(_models(grams), "grams"), order, smoothing, ("_model",)), "ratios")
+    scores = small_join(grams, ratios, ["_gram", "_model"], "inner").groupBy("_host", "_path").agg(
+        F.round(F.avg("_ratio"), 6).alias("_score"), F.first("_label").alias("_label")
     )
     scores = stage(scores, "scores")
-    cutoff = _calibrated(scores.filter("_held and _label is not null"))
+    cutoff = _calibrated(scores.filter("_label is not null"))
     undecided = scores.filter("_label is null").select("_host", "_path", "_score")
     judged = parsed.join(undecided, ["_host", "_path"], "left")
     score = F.when(F.col("_rule").isNull(), F.coalesce("_score", F.lit(0.0)))

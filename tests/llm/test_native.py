@@ -155,3 +155,19 @@ def test_empty_tables(spark):
     for df in (quality_rules(docs), keep_good(docs), exact_dedup(docs), drop_exact_copies(docs), filter_urls(pages),
                mix_sources(docs, weights_in_order((1.0,)), 1.5), mixed_documents(docs, weights_in_order((1.0,)), 1.5)):
         assert df.collect() == []
+
+
+@pytest.mark.parametrize("names", [("aaa", "zzz"), ("mmm", "qqq")])
+def test_every_decided_host_counts(spark, names):
+    """A class may have one host only: its URLs count, whatever fold the host is in; and long and odd URLs have a verdict."""
+    good, bad = (n + ".net" for n in names)
+    rules = (("allow", good, "/"), ("block", bad, "/"))
+    urls = [f"https://{good}/kitten/garden{k}" for k in range(60)] + [f"https://{bad}/xxcasino/zz9{k}" for k in range(60)]
+    asked = ["https://other.info/kitten/garden7", "https://else.info/xxcasino/zz9x", "https://l.info/" + "kitten/garden" * 3000, "https://l.info/" + "xxcasino/zz9" * 3000]
+    more = [None, "", "no scheme", "https://", "https://other.info/kitten/garden7"]
+    pages = spark.createDataFrame(list(enumerate(urls + asked + more)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages, rules=rules).collect()}
+    assert [got[k] for k in range(120)] == ["allow"] * 60 + ["block"] * 60
+    assert [got[k] for k in range(120, 124)] == ["allow", "block", "allow", "block"]
+    assert len(got) == 129 and got[128] == got[120] and set(got.values()) == {"allow", "block"}
+    assert filter_urls(pages.filter("page_id < 0"), rules=rules).collect() == []
