@@ -372,7 +372,7 @@ def contract_records(spark, sf_dir):
 
 
 LANDED_SQL = "SELECT page_id, md5(url) AS url, md5(html) AS html, length(html) AS n FROM pages"
-PAGE = T.StructType(
+PAGE_RECORD = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType())]
 )
 
@@ -385,7 +385,7 @@ def _land_pages(pages, folder: str) -> None:
 
 
 def _of_pages(records):
-    found = envelopes.record_fields(records, PAGE)
+    found = envelopes.record_fields(records, PAGE_RECORD)
     digest = lambda c: F.md5(F.col(c).cast("binary")).alias(c)
     return found.select("page_id", digest("url"), digest("html"), F.length("html").cast("long").alias("n"))
 
