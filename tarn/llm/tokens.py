@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import zlib
 
@@ -10,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarn.llm.alignment import byte_alphabet
 from tarn.llm.chunks import spark_schema
 from tarn.llm.common import column, text_of, worker_memo
 from tarn.session import stage
@@ -19,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules["tarn.llm.common"])
 cloudpickle.register_pickle_by_value(sys.modules["tarn.llm.chunks"])
 
 END = 0
-KNOWN_WORDS = 1_000_000  # of one worker; beyond it the memo starts anew
+KNOWN_WORDS = 200_000  # and as many parts, of one worker; beyond it the memo starts anew
 _MARK = "\x01"
 
 PIECES = pa.schema(
@@ -27,29 +30,77 @@ PIECES = pa.schema(
 )
 
 
+# How a tokenizer file says that it folds and cuts texts in the way that
+# ``_PARTS`` does, and the signs for which Python's folding and cutting surely agree
+# with it: printable ASCII and the letters of Latin-1.
+_FOLDS = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_CUT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+
+
 class WordIds:
     """Ids of words as little-endian 32-bit bytes, by the tokenizer, remembered by word.
 
     The tokenizer must drop white space and treat what lies between it by itself; then
-    the ids of a text are those of its words one after the other. New words are encoded
-    together with a mark between them, whose single id shows where each ends.
+    the ids of a text are those of its words one after the other. Where its file folds
+    and cuts as expected, plain words are cut here, and only parts that are new go to
+    its merges; other new words are encoded together with a mark between them, whose
+    single id shows where each ends.
     """
 
     def __init__(self, vocabulary: str, memo: dict):
         from tokenizers import Tokenizer
 
-        self.tokenizer = memo.get("tokenizer")
-        if self.tokenizer is None:
-            self.tokenizer = memo["tokenizer"] = Tokenizer.from_str(vocabulary)
+        if "tokenizer" not in memo:
+            memo["tokenizer"] = Tokenizer.from_str(vocabulary)
+            memo["cuts"] = self._cuts(json.loads(vocabulary))
+        self.tokenizer, self.cuts = memo["tokenizer"], memo["cuts"]
         self.words = memo.setdefault("words", {})
+        self.parts = memo.setdefault("parts", {})
         self.mark = self._ids([_MARK])[0]
+        alphabet = {byte: sign for sign, byte in byte_alphabet().items()}
+        self.signs = [alphabet[b] for b in range(256)]
+
+    @staticmethod
+    def _cuts(file: dict) -> bool:
+        """Whether the file says that ``_PARTS`` are the parts of a plain word in lower case."""
+        steps = (file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+        split, bytes_ = steps[0], steps[-1]
+        return (
+            file.get("normalizer") == _FOLDS and len(steps) == 2
+            and (split.get("type"), split.get("pattern"), split.get("invert"), split.get("behavior")) == ("Split", {"Regex": _CUT}, True, "Removed")
+            and (bytes_.get("type"), bytes_.get("use_regex"), bytes_.get("add_prefix_space")) == ("ByteLevel", False, False)
+            and not any(_PLAIN.fullmatch(t["content"]) and not t.get("special") for t in file.get("added_tokens", []))
+        )
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _part(self, part: str) -> bytes:
+        written = part if part.isascii() else "".join(map(self.signs.__getitem__, part.encode()))
+        ids = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(written))
+        self.parts[part] = ids
+        return ids
+
     def _learn(self, words: set[bytes]) -> None:
         if len(self.words) + len(words) > KNOWN_WORDS:
             self.words.clear()
+        if len(self.parts) > KNOWN_WORDS:
+            self.parts.clear()
+        others = []
+        for word in words:
+            text = word.decode()
+            # special tokens are written with < and >
+            if self.cuts and _PLAIN.fullmatch(text) and "<" not in text:
+                known = self.parts
+                self.words[word] = b"".join([known[p] if p in known else self._part(p) for p in _PARTS.findall(text.lower())])
+            else:
+                others.append(word)
+        if others:
+            self._encode(others)
+
+    def _encode(self, words: list[bytes]) -> None:
         new = [w for w in words if b"\x01" not in w]
         parts: list[list[int]] = [[]]
         if len(self.mark) == 1:
