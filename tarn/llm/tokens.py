@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules["tarn.llm.common"])
 cloudpickle.register_pickle_by_value(sys.modules["tarn.llm.chunks"])
 
 END = 0
-KNOWN_WORDS = 200_000  # and as many parts, of one worker; beyond it the memo starts anew
+KNOWN_WORDS = 300_000  # and as many parts, of one worker; beyond it the memo starts anew
 _MARK = "\x01"
 
 PIECES = pa.schema(
@@ -61,6 +61,9 @@ class WordIds:
         self.mark = self._ids([_MARK])[0]
         alphabet = {byte: sign for sign, byte in byte_alphabet().items()}
         self.signs = [alphabet[b] for b in range(256)]
+        if "four" not in memo:
+            memo["four"] = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
+        self.four = memo["four"]
 
     @staticmethod
     def _cuts(file: dict) -> bool:
@@ -79,26 +82,34 @@ class WordIds:
 
     def _part(self, part: str) -> bytes:
         written = part if part.isascii() else "".join(map(self.signs.__getitem__, part.encode()))
-        ids = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(written))
+        four = self.four
+        ids = b"".join([four[t.id] for t in self.tokenizer.model.tokenize(written)])
         self.parts[part] = ids
         return ids
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > KNOWN_WORDS:
+    def _learn(self, words: set[bytes], keep: bool = False) -> bool:
+        """Whether the memo started anew, so that words known before may be missing; with ``keep`` it does not."""
+        anew = not keep and len(self.words) + len(words) > KNOWN_WORDS
+        if anew:
             self.words.clear()
         if len(self.parts) > KNOWN_WORDS:
             self.parts.clear()
         others = []
         for word in words:
             text = word.decode()
+            if self.cuts and text.isascii() and (text.isalpha() or (text[-1] in ".," and text[:-1].isalpha())):
+                # letters, perhaps with a stop behind them: the most frequent kind
+                cut = (text.lower(),) if text[-1].isalpha() else (text[:-1].lower(), text[-1])
+                self.words[word] = b"".join([self.parts[p] if p in self.parts else self._part(p) for p in cut])
             # special tokens are written with < and >
-            if self.cuts and _PLAIN.fullmatch(text) and "<" not in text:
+            elif self.cuts and _PLAIN.fullmatch(text) and "<" not in text:
                 known = self.parts
                 self.words[word] = b"".join([known[p] if p in known else self._part(p) for p in _PARTS.findall(text.lower())])
             else:
                 others.append(word)
         if others:
             self._encode(others)
+        return anew
 
     def _encode(self, words: list[bytes]) -> None:
         new = [w for w in words if b"\x01" not in w]
@@ -121,9 +132,8 @@ class WordIds:
             return b"".join(map(self.words.__getitem__, words))
         except KeyError:
             distinct = set(words)
-            self._learn({w for w in distinct if w not in self.words})
-            if not all(w in self.words for w in distinct):  # the memo started anew
-                self._learn(distinct)
+            if self._learn(distinct.difference(self.words)):
+                self._learn(distinct.difference(self.words), keep=True)
             return b"".join(map(self.words.__getitem__, words))
 
 

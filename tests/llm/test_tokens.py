@@ -23,6 +23,7 @@ def test_words_as_the_tokenizer_has_them(sf, monkeypatch):
     signs = "abcXYZ019'\".,;<>|-_/\\éÉßÄÿ÷×µªº\u0301İΣς\u00a0\u3000🙂日\x00\x01\x7f\x85 \n\t"
     texts = ["".join(pick.choice(signs) for _ in range(pick.randrange(40))) for _ in range(4000)]
     texts += [f"{chr(c)} a{chr(c)}b 1{chr(c)}" for c in range(0x2000) if not 0xD800 <= c < 0xE000]
+    texts += [" ".join(f"v{k}" for k in range(2_500)), " ".join(f"v{k}" for k in range(2_000, 9_000)), "v1 v2500"]  # more than the memo holds
     texts += ["<|endoftext|> <|startoftext|>x", "don't WE'LL I'm 'S 's's", "x" * 5000, "É" * 300, "1" * 300]
     texts += [r[0] for r in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
     for text in texts:
