@@ -2,9 +2,8 @@
 
 Every line of every file is compared with the templates, and every file as a whole
 with the full license texts. Terms are weighted by how rare they are among all lines
-of all files. Only lines that share a term with a template can have a cosine above 0,
-and only files that hold enough of a full text's squared weight can reach the least
-cosine; only they are kept for the comparison.
+of all files. Only lines and files that hold enough of a template's or full text's
+squared weight can reach the least cosine; only they are kept for the comparison.
 
 A file that is near a full text, or in which lines near a template hold most of the
 words, is a license file and speaks for its directory. A file without a license of its own inherits that of its nearest
@@ -82,14 +81,12 @@ def _vectors(texts, idf: dict[str, float]) -> list[tuple[str, dict[str, float]]]
     return out
 
 
-def _whole(text: Column, vectors, least_cosine: float) -> Column:
-    """The terms of a file that can reach the least cosine with a full text, else null.
+def _reaches(vectors, least_cosine: float):
+    """Whether an array of terms can have the least cosine with any of the vectors.
 
-    A cosine is at most the root of the squared weight of those terms of the text's unit
-    vector that the file has.
+    A cosine is at most the root of the squared weight of those terms of the other unit
+    vector that are held.
     """
-    if not vectors:
-        return F.lit(None).cast("array<string>")
     least = least_cosine**2 - 1e-9
     masses = [{t: v * v for t, v in vector.items()} for _, vector in vectors]
     # one literal each, which the optimizer splits once; a literal per term takes long to plan
@@ -113,11 +110,19 @@ def _whole(text: Column, vectors, least_cosine: float) -> Column:
             enough = enough | ((F.size(held) >= n) & (total >= F.lit(least)))
         return (F.size(held) >= min(fewest)) & enough
 
-    return let(_all_terms(text), lambda terms: F.when(let(F.array_intersect(terms, known), near), terms))
+    return lambda terms: let(F.array_intersect(terms, known), near)
 
 
-def _hits(files: DataFrame, vocabulary: list[str], whole: Column) -> DataFrame:
-    """Per file: _row, _n_words and _units, its lines that share a term with a template, and as line -1 the file itself."""
+def _whole(text: Column, vectors, least_cosine: float) -> Column:
+    """The terms of a file that can reach the least cosine with a full text, else null."""
+    if not vectors:
+        return F.lit(None).cast("array<string>")
+    reaches = _reaches(vectors, least_cosine)
+    return let(_all_terms(text), lambda terms: F.when(reaches(terms), terms))
+
+
+def _hits(files: DataFrame, vocabulary: list[str], whole: Column, near_line) -> DataFrame:
+    """Per file: _row, _n_words and _units, its lines that can be near a template, and as line -1 the file itself."""
     known = F.array(*[F.lit(t) for t in vocabulary])
     stop = F.array(*[F.lit(t) for t in STOP_WORDS])
 
@@ -130,7 +135,10 @@ def _hits(files: DataFrame, vocabulary: list[str], whole: Column) -> DataFrame:
     # most texts have none of the terms, which one pass of a pattern tells
     any_term = F.col("_text").rlike(r"(?i)(?<![a-z0-9])(?:" + "|".join(t.replace(".", r"\.") for t in vocabulary) + r")(?![a-z0-9])")
     none = F.array().cast("array<struct<line:int,terms:array<string>,n_words:bigint>>")
-    lines = F.filter(F.transform(F.split("_text", "\n"), line_terms), lambda x: F.arrays_overlap(x.getField("terms"), known))
+    lines = F.filter(
+        F.transform(F.split("_text", "\n"), line_terms),
+        lambda x: F.arrays_overlap(x.getField("terms"), known) & near_line(x.getField("terms")),
+    )
 
     def as_unit(terms: Column) -> Column:
         return F.when(terms.isNull(), none).otherwise(F.array(F.struct(F.lit(-1).alias("line"), telling(terms).alias("terms"), F.lit(0).cast("long").alias("n_words"))))
@@ -200,7 +208,7 @@ def scan_licenses(
     held = {r["term"]: r["n"] for r in frequencies.filter(F.col("term").isin(asked)).collect()}
     idf = {t: math.log((1 + n_lines) / (1 + held.get(t, 0))) + 1 for t in asked}
     of_lines, of_files = _vectors(templates, idf), _vectors(texts, idf)
-    scanned = stage(_hits(picked, vocabulary, _whole(F.col("_text"), of_files, least_cosine)), "lines")
+    scanned = stage(_hits(picked, vocabulary, _whole(F.col("_text"), of_files, least_cosine), _reaches(of_lines, least_cosine)), "lines")
 
     best = _best_of_units(scanned, frequencies, n_lines, of_lines, of_files).filter(F.col("best.cosine") >= least_cosine)
     is_line = F.col("line") >= 0
