@@ -1,6 +1,9 @@
 """Properties of physical plans that matter on large data."""
 
+import re
+
 import pytest
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tarn.functions.skew import BROADCAST_ROWS, dimension_join, fits_broadcast
@@ -65,6 +68,18 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark, sf):
     assert "_salt" in plan(dimension_join(facts, part, ["p_partkey"], max_rows=10))
 
 
+def test_sketches_are_kept_per_group_and_not_per_distinct_value(spark, folder):
+    """400 orders of 3 lines and 40 parts under each of two flags, copies and nulls."""
+    lines = [(o, p, flag, 1000.0 + o) for flag in "AB" for o in range(400) for p in (o % 40, (o + 1) % 40, o % 40)]
+    lines += [(None, 0, "A", None), (0, None, "A", 1200.0), (7, 7, "C", 5.0), (7, 7, "C", 5.0)]
+    columns = "l_orderkey long, l_partkey long, l_returnflag string, l_extendedprice double"
+    spark.createDataFrame(lines, columns).write.parquet(f"{folder}/lineitem.parquet")
+    df = QUERIES["sql15_approximate"](spark, folder)
+    sketched = [line for line in plan(df).splitlines() if "approx_count_distinct" in line or "hll_sketch_agg" in line]
+    assert sketched and all(re.search(r"keys=\[l_returnflag#\d+\]", line) for line in sketched)
+    assert rows(df) == [("A", 400, 40, True, True, True), ("B", 400, 40, True, True, True), ("C", 1, 1, True, True, True)]
+
+
 def test_no_python_in_the_core(spark, sf):
     for name in [n for n in QUERIES if not n.startswith((*SLOW, "vec", "ext"))]:  # vector scores and the landed source
         text = plan(QUERIES[name](spark, sf))
