@@ -76,7 +76,7 @@ def test_sketches_are_kept_per_group_and_not_per_distinct_value(spark, folder):
     spark.createDataFrame(lines, columns).write.parquet(f"{folder}/lineitem.parquet")
     df = QUERIES["sql15_approximate"](spark, folder)
     sketched = [line for line in plan(df).splitlines() if "approx_count_distinct" in line or "hll_sketch_agg" in line]
-    assert sketched and all(re.search(r"keys=\[l_returnflag#\d+\]", line) for line in sketched)
+    assert sketched and all(re.search(r"keys?=\[l_returnflag#\d+\]", line) for line in sketched)
     assert rows(df) == [("A", 400, 40, True, True, True), ("B", 400, 40, True, True, True), ("C", 1, 1, True, True, True)]
 
 
